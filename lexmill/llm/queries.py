@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexmill.llm.components import consolidate, staged_links
 from lexmill.llm.encoding import encode_corpus
 from lexmill.session import table
 
@@ -14,9 +15,40 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = table(spark, sf_dir, "pilot_staged")
+    return consolidate(staged, staged_links(staged, table(spark, sf_dir, "adjudication_entries")))
+
+
+#: The same groups by a transitive closure.
+P3_SQL = r"""
+WITH RECURSIVE own AS (
+  SELECT id AS a, category, lower(trim(pair_id)) AS p FROM pilot_staged
+  UNION
+  SELECT source.id, source.category, lower(trim(source.pair_id)) FROM adjudication_entries
+  WHERE source.id IN (SELECT id FROM pilot_staged)
+), hubs AS (
+  SELECT a, category || '|' || p AS h FROM own WHERE regexp_full_match(p, '[\p{L}_]+-[0-9]+')
+), firsts AS (
+  SELECT a, min(a) OVER (PARTITION BY h) AS b FROM hubs
+), links AS (
+  SELECT a, b FROM firsts WHERE a <> b
+  UNION
+  SELECT id, curation.previous_duplicate_of FROM pilot_staged
+  WHERE curation.previous_duplicate_of IN (SELECT id FROM pilot_staged) AND id <> curation.previous_duplicate_of
+), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a AS id, a AS r FROM both_ways
+  UNION
+  SELECT l.b, reach.r FROM reach JOIN both_ways l ON l.a = reach.id
+)
+SELECT min(r) AS group_id, id FROM reach GROUP BY id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p7_ids": p7_ids}
+    return {"p3_found": p3_found, "p7_ids": p7_ids}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p3_found": P3_SQL}
