@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.llm.components import consolidate, staged_links
 from lexmill.llm.encoding import encode_corpus
+from lexmill.llm.lookalike import canonicalize, review_values
 from lexmill.session import table
 
 
@@ -46,8 +47,18 @@ SELECT min(r) AS group_id, id FROM reach GROUP BY id
 """
 
 
+def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value with its one form."""
+    values = review_values(*(table(spark, sf_dir, t) for t in ("editor_packets", "fidelity_reviews", "glossary_open")))
+    return canonicalize(values, "value", "locale")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_forms(spark, sf_dir).where("value != canonical").select("tab", "rec_key").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p7_ids": p7_ids}
+    return {"p3_found": p3_found, "p5_found": p5_found, "p5_forms": p5_forms, "p7_ids": p7_ids}
 
 
 def oracle_sql() -> dict[str, str]:
