@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexmill.llm.components import consolidate, staged_links
 from lexmill.llm.encoding import encode_corpus
 from lexmill.llm.lookalike import canonicalize, review_values
-from lexmill.session import table
+from lexmill.llm.names import attributed, link_names, linked_records
+from lexmill.session import durable, table
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +59,20 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_forms(spark, sf_dir).where("value != canonical").select("tab", "rec_key").distinct()
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = durable(attributed(table(spark, sf_dir, "pilot_staged"), table(spark, sf_dir, "adjudication_entries")), "names")
+    roster = table(spark, sf_dir, "person_roster")
+    return linked_records(records, link_names(records, roster), roster)
+
+
+def p6_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct name that means a roster entry, with its similarities."""
+    records = attributed(table(spark, sf_dir, "pilot_staged"), table(spark, sf_dir, "adjudication_entries"))
+    return link_names(records, table(spark, sf_dir, "person_roster")).select("name", "person_id", F.round("cosine", 6).alias("cosine"), F.round("linkage", 6).alias("linkage"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p5_found": p5_found, "p5_forms": p5_forms, "p7_ids": p7_ids}
+    return {"p3_found": p3_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids}
 
 
 def oracle_sql() -> dict[str, str]:
