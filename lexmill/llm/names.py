@@ -29,7 +29,7 @@ THRESHOLD = 0.25
 # Words that go with a name but are not part of it.
 TITLES = frozenset("dr prof professor phd md mr mrs ms miss sir dame lord lady st saint rev fr sr jr dipl ing mag doc esq the attributed to by from after via said quoted per as told in words of".split())
 # Words of an organisation's name that may be left out.
-FILLERS = frozenset("the for of and on de la le du des der die das und et y e".split())
+FILLERS = frozenset("the for of and on de la le du des der die das und et y e 4 a an in".split())
 # Common short forms of given names (folded).
 NICKNAMES = {
     "alex": "alexander alexandra", "al": "alexander albert alfred", "sandy": "alexander alexandra", "sandor": "alexander", "sasha": "alexander alexandra", "alec": "alexander", "xander": "alexander",
@@ -142,8 +142,8 @@ def _person(have: list[str], want: list[str], raw: str) -> float | None:
 
 def _organisation(name: str, entry: str) -> float | None:
     want, have = body_words(entry), body_words(name)
-    letters = "".join(have)
-    if len(want) > 2 and max(map(len, have), default=0) <= len(want) + 1 and letters in ("".join(t[0] for t in want), "".join(t[0] for t in bare(entry))):
+    letters = re.sub(r"[^a-z]", "", fold(name))
+    if len(want) > 2 and letters in ("".join(t[0] for t in want), "".join(t[0] for t in bare(entry))):
         return 0.3
     if not want or not have:
         return None
@@ -175,6 +175,9 @@ def spellings(name: str, kind: str) -> list[str]:
 
 
 def query_form(name: str) -> str:
+    letters = re.findall(r"[^\W_]", fold(name))
+    if 2 < len(letters) <= 8 and all(len(t) == 1 or t == name.lower() for t in re.findall(r"[^\W_]+", fold(name))):
+        return "".join(letters)
     tokens = body_words(name) if "(" in name and not re.search(r"\(\W*\d", name) else [t for t in bare(name) if t not in FILLERS]
     return "".join(tokens) if tokens and all(len(t) == 1 for t in tokens) else " ".join(tokens)
 
