@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import consolidate, staged_links
+from lexmill.llm.covering import record_texts, similar_groups, similar_pairs
 from lexmill.llm.encoding import encode_corpus
 from lexmill.llm.lookalike import canonicalize, review_values
 from lexmill.llm.names import attributed, link_names, linked_records
@@ -49,6 +50,14 @@ SELECT min(r) AS group_id, id FROM reach GROUP BY id
 """
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_pairs(record_texts(table(spark, sf_dir, "pilot_staged")))
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(record_texts(table(spark, sf_dir, "pilot_staged")))
+
+
 def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value with its one form."""
     values = review_values(*(table(spark, sf_dir, t) for t in ("editor_packets", "fidelity_reviews", "glossary_open")))
@@ -72,7 +81,7 @@ def p6_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids}
+    return {"p3_found": p3_found, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids}
 
 
 def oracle_sql() -> dict[str, str]:
