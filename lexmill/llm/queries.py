@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexmill.llm.components import consolidate, staged_links
 from lexmill.llm.covering import record_texts, similar_groups, similar_pairs
 from lexmill.llm.encoding import encode_corpus
+from lexmill.llm.language import detect, fit, labelled_sample, labelled_texts, wrong_labels
 from lexmill.llm.lookalike import canonicalize, review_values
 from lexmill.llm.names import attributed, link_names, linked_records
 from lexmill.session import durable, table
@@ -19,6 +20,16 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every record and of every segment of a mixed one."""
+    docs = labelled_texts(table(spark, sf_dir, "pilot_staged"), table(spark, sf_dir, "adjudication_entries"))
+    return detect(docs, fit(labelled_sample(docs)))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrong_labels(p1_segments(spark, sf_dir)).select("tab", "rec_key", "seg_no", "lang").distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = table(spark, sf_dir, "pilot_staged")
     return consolidate(staged, staged_links(staged, table(spark, sf_dir, "adjudication_entries")))
@@ -81,8 +92,8 @@ def p6_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids}
+    return {"p1_found": p1_found, "p1_segments": p1_segments, "p3_found": p3_found, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_SQL}
+    return {"p1_found": p1_found, "p1_segments": p1_segments, "p3_found": P3_SQL}
