@@ -13,6 +13,7 @@ from lexmill.llm.encoding import encode_corpus
 from lexmill.llm.language import detect, fit, labelled_sample, labelled_texts, wrong_labels
 from lexmill.llm.lookalike import canonicalize, review_values
 from lexmill.llm.names import attributed, link_names, linked_records
+from lexmill.llm.pii import find, redact
 from lexmill.session import durable, table
 
 
@@ -91,8 +92,16 @@ def p6_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_names(records, table(spark, sf_dir, "person_roster")).select("name", "person_id", F.round("cosine", 6).alias("cosine"), F.round("linkage", 6).alias("linkage"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find(table(spark, sf_dir, "documents")).select("doc_id", "kind", "span").distinct()
+
+
+def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redact(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_segments": p1_segments, "p3_found": p3_found, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids}
+    return {"p1_found": p1_found, "p1_segments": p1_segments, "p3_found": p3_found, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 
 def oracle_sql() -> dict[str, str]:
