@@ -12,6 +12,7 @@ from lexmill.llm.covering import record_texts, similar_groups, similar_pairs
 from lexmill.llm.encoding import encode_corpus
 from lexmill.llm.language import detect, fit, labelled_sample, labelled_texts, wrong_labels
 from lexmill.llm.lookalike import canonicalize, review_values
+from lexmill.llm.mixing import mix
 from lexmill.llm.names import attributed, link_names, linked_records
 from lexmill.llm.pii import find, redact
 from lexmill.session import durable, table
@@ -92,6 +93,15 @@ def p6_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_names(records, table(spark, sf_dir, "person_roster")).select("name", "person_id", F.round("cosine", 6).alias("cosine"), F.round("linkage", 6).alias("linkage"))
 
 
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen documents with their repeats, in random order."""
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents")).select("doc_id", "kind", "span").distinct()
 
@@ -101,7 +111,7 @@ def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_segments": p1_segments, "p3_found": p3_found, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids, "p9_found": p9_found, "p9_redacted": p9_redacted}
+    return {"p1_found": p1_found, "p1_segments": p1_segments, "p3_found": p3_found, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p6_names": p6_names, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 
 def oracle_sql() -> dict[str, str]:
