@@ -34,8 +34,8 @@ def collapse_ws(c: Column | str) -> Column:
 
 
 def normalise(c: Column | str) -> Column:
-    """Trimmed, white space collapsed, lower case."""
-    return F.lower(collapse_ws(c))
+    """Trimmed, white space collapsed, lower case; the dotted capital I becomes a plain i, without a mark of its own."""
+    return F.lower(F.translate(collapse_ws(c), "İ", "i"))
 
 
 def placeholder_classes(c: Column | str) -> Column:

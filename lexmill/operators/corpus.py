@@ -93,9 +93,9 @@ def collisions(texts: DataFrame) -> DataFrame:
     ``texts``: ``category locale group_id text is_new``. The name of a collision
     changes with its members: it is a sum of their hashes, which needs no list.
     """
-    from lexmill.functions.text import collapse_ws
+    from lexmill.functions.text import normalise
 
-    df = texts.where("text is not null").withColumn("text_norm", F.lower(collapse_ws("text")))
+    df = texts.where("text is not null").withColumn("text_norm", normalise("text"))
     member = F.conv(F.substring(F.md5(F.concat_ws("|", "group_id", F.col("is_new").cast("string"))), 1, 8), 16, 10).cast("long")
     g = df.withColumn("m", member).groupBy("category", "locale", "text_norm").agg(
         F.countDistinct("group_id").alias("n_groups"), F.count(F.lit(1)).alias("n_rows"), F.max(F.col("is_new").cast("int")).alias("any_new"), F.sum("m").alias("s")

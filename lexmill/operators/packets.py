@@ -41,7 +41,10 @@ def control_kind(key: Column, comment: Column) -> Column:
 
 def invariants(values: DataFrame) -> DataFrame:
     """``key kind fact``: distinct facts of each source text (``key source``), in lower case."""
-    found = F.flatten(F.array(*[F.transform(F.array_distinct(F.regexp_extract_all(F.lower("source"), F.lit(p), F.lit(0))), lambda m, k=k: F.struct(F.lit(k).alias("kind"), m.alias("fact"))) for k, p in INVARIANTS.items()]))
+    def facts(kind: str, pattern: str) -> Column:
+        return F.transform(F.array_distinct(F.regexp_extract_all(F.lower("source"), F.lit(pattern), F.lit(0))), lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("fact")))
+
+    found = F.flatten(F.array(*[facts(k, p) for k, p in INVARIANTS.items()]))
     return values.where("source is not null").select("key", F.explode(found).alias("f")).select("key", "f.kind", "f.fact")
 
 

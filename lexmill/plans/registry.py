@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans import drift_queries
+from lexmill.plans import catalog_queries, corpus_queries, drift_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {
+    return catalog_queries.queries() | corpus_queries.queries() | {
         "p2_found": drift_queries.p2_found,
         "p2_terms": drift_queries.p2_terms,
         "p2_open_items": drift_queries.p2_open_items,
@@ -21,8 +21,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return catalog_queries.oracle_sql() | corpus_queries.oracle_sql()
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift_queries.p2_found(spark, sf_dir)
+    return catalog_queries.findings_summary(spark, sf_dir)
