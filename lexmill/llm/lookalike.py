@@ -36,7 +36,7 @@ LATIN_TWINS = {"ɡ": "g", "ɑ": "a", "ɩ": "i", "ɪ": "i", "ʏ": "y", "ȷ": "j",
 MARK_TWINS = [("̦", "̧"), ("̋", "̃"), ("̋", "̂"), ("̋", "̈"), ("̆", "̌"), ("́", "΄"), ("́", "̍")]
 # Neighbouring spellings, by locale, used where the vocabulary has no answer.
 NEIGHBOURS = {
-    "ro": dict(zip("şţŞŢǎǍãÃ", "șțȘȚăĂăĂ")), "hu": dict(zip("õûÕÛôÔ", "őűŐŰőŐ")), "tr": dict(zip("șțȘȚǧǦ", "ştŞTğĞ")), "de": {"β": "ß"}, "el": {"µ": "μ", "ά": "ά", "ß": "β"}, "bg": {"i": "і"},
+    "ro": dict(zip("şţŞŢǎǍãÃ", "șțȘȚăĂăĂ")), "hu": dict(zip("õûÕÛôÔ", "őűŐŰőŐ")), "tr": dict(zip("șțȘȚǧǦ", "ştŞTğĞ")), "de": {"β": "ß"}, "el": {"µ": "μ", "ά": "ά", "ß": "β"},
 }
 # Characters that show nothing.
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁤⁦-⁯ㅤ︀-️﻿ﾠ￹-￻\U0001d173-\U0001d17a\U000e0000-\U000e0fff"

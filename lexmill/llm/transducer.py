@@ -93,8 +93,8 @@ class Transducer:
     def ranks(self, words: list[bytes]) -> np.ndarray:
         """The rank of each word, -1 where the lexicon lacks it."""
         n = len(words)
-        if not n or not len(self.keys):
-            return np.full(n, -1, np.int64)
+        if not n:
+            return np.zeros(0, np.int64)
         lengths = np.fromiter(map(len, words), np.int64, n)
         data = np.frombuffer(b"".join(words), np.uint8)
         first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
@@ -102,6 +102,8 @@ class Transducer:
         rank = np.zeros(n, np.int64)
         live = np.flatnonzero(lengths)
         step = 0
+        if not len(self.keys):
+            state[live], live = -1, live[:0]
         while len(live):
             want = state[live] * 256 + data[first[live] + step]
             found = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
