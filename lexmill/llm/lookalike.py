@@ -110,6 +110,22 @@ def ordinary(token: str, locale: str) -> bool:
     return all(script(c) == home for c in token) and not any(c in NEIGHBOURS.get(locale, ()) for c in token)
 
 
+# Letters of the other scripts' ordinary spelling, composed.
+HOME_LETTERS = {"el": "Α-Ωα-ωςΆΈΉΊΌΎΏΪΫάέήίόύώϊϋΐΰ", "he": "א-ת", "bg": "А-яѝЍ"}
+# Marks that ordinary texts of any locale have.
+MARKS = "“”‘’„‚«»‹›–—…•·€£°׳״"
+
+
+@functools.cache
+def _untouched(locale: str) -> re.Pattern:
+    """Texts in which every word is ordinary and every sign known: they are their own form."""
+    signs = rf"\x00-@\[-`{{-\x7f{MARKS}"
+    if locale in HOME_LETTERS:
+        own = HOME_LETTERS[locale]
+        return re.compile(rf"(?:[A-Za-z]+(?![{own}])|[{own}]+(?![A-Za-z])|[{signs}]+)*+")
+    return re.compile(rf"[A-Za-z{signs}{''.join(sorted(_alphabet(locale)))}]*+")
+
+
 @functools.cache
 def _alternatives() -> dict[str, tuple[str, ...]]:
     """Character of a decomposed token -> characters of a vocabulary word that look the same."""
@@ -232,6 +248,8 @@ class Canonicalizer:
         return by_table(token, locale)
 
     def value(self, text: str, locale: str) -> str:
+        if _untouched(locale).fullmatch(text):
+            return text
         settled = strip(text)
         if settled.isascii():
             return settled
