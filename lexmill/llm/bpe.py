@@ -6,7 +6,6 @@ import base64
 import functools
 import heapq
 import re
-import sys
 
 import regex
 
@@ -18,27 +17,28 @@ _EXACT = regex.compile(SPLIT)
 _FAST = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
 
 
-@functools.cache
-def _differing() -> re.Pattern:
-    """Characters that ``re`` and ``regex`` class differently, as one class; made on first use."""
-    points = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
-    every = "".join(points)
-    apart: set[str] = set()
+# Blocks of common letters and signs; what both libraries class alike in them needs no closer look.
+_COMMON = ((0x00, 0x24F), (0x370, 0x52F), (0x5D0, 0x5EA), (0x1E00, 0x1FFF), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20BF))
+
+
+def _classed_apart(points: list[str]) -> set[str]:
+    every, apart = "".join(points), set()
     for fast, exact in ((r"[^\W\d_]", r"\p{L}"), (r"\d", r"\p{N}"), (r"\s", r"\s")):
         apart |= set(re.findall(fast, every)) ^ set(regex.findall(exact, every))
-    codes = sorted(map(ord, apart))
-    spans, start = [], None
-    for i, c in enumerate(codes):
-        start = c if start is None else start
-        if i + 1 == len(codes) or codes[i + 1] != c + 1:
-            spans.append(f"{re.escape(chr(start))}-{re.escape(chr(c))}")
-            start = None
-    return re.compile("[" + "".join(spans) + "]")
+    return apart
+
+
+@functools.cache
+def _uncommon() -> re.Pattern:
+    """Characters outside of the common blocks, or classed differently; made on first use."""
+    points = [chr(i) for a, b in _COMMON for i in range(a, b + 1)]
+    safe = sorted(set(points) - _classed_apart(points))
+    return re.compile("[^" + "".join(map(re.escape, safe)) + "]")
 
 
 def split_words(text: str) -> list[str]:
     """The pieces that merges never cross."""
-    if text.isascii() or not _differing().search(text):
+    if not _uncommon().search(text):
         return _FAST.findall(text)
     return _EXACT.findall(text)
 

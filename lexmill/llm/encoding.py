@@ -12,7 +12,7 @@ import hashlib
 import os
 import shutil
 import tempfile
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,13 +115,13 @@ class Encoder:
 
     def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one array, where each text's ids begin)."""
-        known: dict[str, int] = {}
-        number = known.setdefault
+        known: defaultdict[str, int] = defaultdict()
+        known.default_factory = known.__len__  # a new word gets the next number
         at: list[int] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
             if text:
-                at += [number(w, len(known)) for w in split_words(text)]
+                at += map(known.__getitem__, split_words(text))
             ends[i + 1] = len(at)
         pool, first = self.words(list(known))
         index = np.array(at, np.int64)

@@ -87,7 +87,7 @@ class Transducer:
             length = int(length)
             nbytes = np.dtype(kind).itemsize * length
             assert at + nbytes <= size
-            setattr(self, name, np.memmap(path, np.dtype(kind), "r", at, (length,)) if length else np.zeros(0, kind))
+            setattr(self, name, np.memmap(path, np.dtype(kind), "r", at, (length,)).view(np.ndarray) if length else np.zeros(0, kind))
             at += nbytes
 
     def ranks(self, words: list[bytes]) -> np.ndarray:
