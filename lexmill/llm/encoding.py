@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexmill.llm.bounded import at_most, log_level
 from lexmill.llm.bpe import load_ranks, merge, split_words
 from lexmill.llm.transducer import Transducer, compile_transducer, save
 
@@ -71,7 +72,7 @@ def build_lexicon(docs: DataFrame | None, text_col: str, ranks_path: str, size:
     if docs is None:
         words = [w for w, r in ranks.items() if len(w) > 1][:size]
     else:
-        top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(size)
+        top = at_most(word_counts(docs, text_col), log_level("n"), size)
         words = [bytes(r.word) for r in top.select("word").collect()]
     arrays = compile_transducer([(w, merge(w, ranks)) for w in words])
     folder = tempfile.mkdtemp(prefix="lexicon-")

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexmill.llm.bounded import at_most, log_level
+
 # Letters beside a-z (or the base script) that a locale's spelling has.
 EXTRA_LETTERS = {
     "en": "", "ro": "ăâîșț", "hu": "áéíóöőúüű", "de": "äöüß", "fr": "àâæçéèêëîïôœùûüÿ", "es": "áéíñóúü", "tr": "çğıöşüâîû", "el": "άέήίόύώϊϋΐΰς", "he": "", "bg": "",
@@ -299,7 +301,8 @@ def vocabulary(values: DataFrame, value_col: str, locale_col: str, size: int = V
             yield out()
 
     parts = values.select(F.col(value_col).cast("string").alias("v"), F.col(locale_col).cast("string").alias("l")).mapInArrow(run, "locale string, word string, n long")
-    return parts.groupBy("locale", "word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "locale", "word").limit(size)
+    counts = parts.groupBy("locale", "word").agg(F.sum("n").alias("n")).where("n > 1")
+    return at_most(counts, log_level("n"), size)
 
 
 def canonicalize(values: DataFrame, value_col: str, locale_col: str, out_col: str = "canonical", size: int = VOCABULARY) -> DataFrame:
