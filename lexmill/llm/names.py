@@ -26,6 +26,9 @@ GRAM = 3
 TOP_N = 25
 THRESHOLD = 0.25
 
+#: Grams of a roster that are broadcast; a larger one is joined by shuffling.
+BROADCAST_ROWS = 200_000
+
 # Words that go with a name but are not part of it.
 TITLES = frozenset("dr prof professor phd md mr mrs ms miss sir dame lord lady st saint rev fr sr jr dipl ing mag doc esq the attributed to by from after via said quoted per as told in words of".split())
 # Words of an organisation's name that may be left out.
@@ -227,7 +230,10 @@ def link_names(names: DataFrame, roster: DataFrame, top_n: int = TOP_N, threshol
     idf = df.crossJoin(F.broadcast(total)).select("gram", F.log(1 + F.col("all") / F.col("df")).alias("idf"))
     a, b = durable(_weighted(asked_grams, idf), "asked"), durable(_weighted(stated_grams, idf), "stated")
     right = b.select(F.col("key").alias("person_id"), F.col("form").alias("stated"), "gram", F.col("w").alias("v"))
-    sums = a.join(right, "gram").groupBy(F.col("key").alias("name"), "person_id", "stated").agg(F.sum(F.col("w") * F.col("v")).alias("cosine"))
+    # All grams of a name in one task: the sums then need no further shuffle. The roster is broadcast only while it is small.
+    if right.count() <= BROADCAST_ROWS:
+        right = F.broadcast(right)
+    sums = a.repartition("key").join(right, "gram").groupBy(F.col("key").alias("name"), "person_id", "stated").agg(F.sum(F.col("w") * F.col("v")).alias("cosine"))
     pairs = sums.where(F.col("cosine") >= threshold).groupBy("name", "person_id").agg(F.max("cosine").alias("cosine"))
     best = _top(pairs, top_n)
     candidates = best.join(entries.select(F.col("key").alias("person_id"), F.col("name").alias("display_name"), "kind"), "person_id")
