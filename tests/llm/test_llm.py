@@ -144,8 +144,8 @@ def edited(rng, words, n, vocabulary):
     return words
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates_against_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,s", [(1, 0.8), (2, 0.8), (3, 0.6), (4, 0.3), (5, 1.0)])
+def test_near_duplicates_against_brute_force(spark, seed, s):
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(400)]
     rows = []
@@ -155,10 +155,10 @@ def test_near_duplicates_against_brute_force(spark, seed):
             rows.append((f"d{len(rows):04}", " ".join(edited(rng, base, rng.randrange(0, max(2, len(base) // 5)), vocabulary))))
     rows += [("d0001", "another text of the same id"), ("x1", "Another, TEXT of the same id!"), ("x2", ""), ("x3", None), (None, "w1 w2"), ("x4", "... !"), rows[0], rows[0], ("x5", " ".join(vocabulary * 3)), ("x6", " ".join(vocabulary[:370]))]
     df = spark.createDataFrame([(*r, "c") for r in rows], "id string, text string, id_a string")
-    got = {(r.id_a, r.id_b) for r in covering.similar_pairs(df).collect()}
-    assert got == brute_pairs(rows)
+    got = {(r.id_a, r.id_b) for r in covering.similar_pairs(df, s).collect()}
+    assert got == brute_pairs(rows, s)
     grouped = {}
-    for r in covering.similar_groups(df).collect():
+    for r in covering.similar_groups(df, s).collect():
         grouped.setdefault(r.group_id, set()).add(r.id)
     assert {frozenset(g) for g in grouped.values()} == brute_groups({i for i, _ in rows if i}, got)
 
