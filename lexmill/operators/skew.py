@@ -21,13 +21,20 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, least: int = HOT
     return counts.where(F.col("_n") >= least).crossJoin(F.broadcast(total)).where(F.col("_n") > F.col("_all") * share).select(key)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, salt_from: str, hot: DataFrame, salts: int = 64, how: str = "inner") -> DataFrame:
+def hot_keys_of(kept: DataFrame, key: str) -> DataFrame | None:
+    """:func:`hot_keys` of a written table; None, without counting by key, where it is too short to have any."""
+    return hot_keys(kept, key) if kept.count() >= HOT_ROWS else None
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, salt_from: str, hot: DataFrame | None, salts: int = 64, how: str = "inner") -> DataFrame:
     """Join where ``right`` has one row per ``key`` and ``left`` may have very many.
 
     The left rows of a hot key are spread over ``salts`` tasks by the hash of
     ``salt_from``; its one right row is repeated for each. ``hot`` is bounded by
-    :func:`hot_keys`, which is why it may be broadcast.
+    :func:`hot_keys`, which is why it may be broadcast; None means no hot key.
     """
+    if hot is None:
+        return left.join(right, key, how)
     mark = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
     spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_from), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     a = left.join(mark, key, "left").withColumn("_salt", spread).drop("_hot")
