@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.operators.skew import hot_keys, salted_join
+from lexmill.operators.skew import hot_keys_of, salted_join
 from lexmill.session import durable, forget
 
 #: Rounds after which the input is taken to be broken; each round removes at least half of the vertices of a path.
@@ -36,13 +36,13 @@ def seed_forest(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
         if len(fallen) >= max_rounds:
             raise RuntimeError(f"links left after {max_rounds} rounds")
         least = links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        hot = hot_keys(links, "u")
+        hot = hot_keys_of(links, "u")
         told = salted_join(links, least, "u", "v", hot).select(F.col("v").alias("x"), "m")
         told = durable(told.union(least.select(F.col("u").alias("x"), "m")).distinct(), "told")
         # per vertex: the smallest it was told, and whether it was told itself
         best = told.groupBy("x").agg(F.min("m").alias("best"), F.max(F.col("m") == F.col("x")).alias("stays"))
         fallen.append(durable(best.where("not stays").select(F.col("x").alias("node"), F.col("best").alias("parent")), "fallen"))
-        more = salted_join(told, best.select("x", "best"), "x", "m", hot_keys(told, "x")).where("m != best")
+        more = salted_join(told, best.select("x", "best"), "x", "m", hot_keys_of(told, "x")).where("m != best")
         pairs = more.select(F.col("m").alias("u"), F.col("best").alias("v"))
         new = durable(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
         forget(told)
@@ -51,7 +51,7 @@ def seed_forest(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     rooted = spark.createDataFrame([], f"node {kind.simpleString()}, root {kind.simpleString()}")
     for step in reversed(fallen):
         parents = rooted.select(F.col("node").alias("parent"), "root")
-        flown = salted_join(step, parents, "parent", "node", hot_keys(step, "parent"), how="left")
+        flown = salted_join(step, parents, "parent", "node", hot_keys_of(step, "parent"), how="left")
         rooted = durable(rooted.union(flown.select("node", F.coalesce("root", "parent").alias("root"))), "rooted")
     return vertices.join(rooted, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
@@ -72,7 +72,7 @@ def consolidate(records: DataFrame, links: DataFrame, id_col: str = "id") -> Dat
     roots = seed_forest(links.select(vertex("a").alias("u"), vertex("b").alias("v")))
     named = durable(roots.join(ids.withColumn("node", vertex("id")), "node").select("root", "id"), "named")
     groups = named.groupBy("root").agg(F.min("id").alias("group_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return salted_join(named, groups, "root", "id", hot_keys(named, "root")).select("group_id", "id")
+    return salted_join(named, groups, "root", "id", hot_keys_of(named, "root")).select("group_id", "id")
 
 
 #: Fixed value: what a pair id reads like, trimmed and in lower case.
