@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
+from lexmill.operators.phrases import phrase_hits
 
 FINDING = ["check", "severity", "key", "variation", "message"]
 # Order of severities.
@@ -134,17 +135,10 @@ def render_list(pairs: DataFrame, trigger: float = 1.35) -> DataFrame:
 
 
 def term_hits(values: DataFrame, terms: DataFrame) -> DataFrame:
-    """``key locale term``: whole-word occurrences of ``terms`` (``locale term``) in ``values`` (``key locale target``), in any case.
-
-    A term's first word is looked up among the words of the texts by an equi
-    join; only texts with that word are matched against the whole term, so no
-    text meets every term.
-    """
-    lead = F.element_at(F.split(X.plain_words("term"), " "), 1)
-    t = terms.where("term is not null").select("locale", "term").distinct().withColumn("needle", X.plain_words("term")).withColumn("word", lead).where("word != ''")
+    """``key locale term``: whole-word occurrences of ``terms`` (``locale term``) in ``values`` (``key locale target``), in any case."""
+    t = terms.where("term is not null").select("locale", "term").distinct().withColumn("needle", X.plain_words("term"))
     v = values.where("target is not null").select("key", "locale", X.plain_words("target").alias("hay"))
-    words = v.select("key", "locale", "hay", F.explode(F.array_distinct(F.split("hay", " "))).alias("word"))
-    return words.join(t, ["locale", "word"]).where(X.contains_whole(F.col("hay"), F.col("needle"))).select("key", "locale", "term").distinct()
+    return phrase_hits(v, t, ["locale"]).select("key", "locale", "term").distinct()
 
 
 def glossary_findings(values: DataFrame, forbidden: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
+from lexmill.operators.phrases import phrase_hits
 
 # Facts that a translation must keep, by kind.
 INVARIANTS = {
@@ -108,19 +109,13 @@ def leaves(rows: DataFrame, key: str, json: str) -> DataFrame:
 def leaks(blind: DataFrame, forbidden: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
     """``key item``: forbidden texts that stand whole in a blind text. ``blind``: ``key leaf``; ``forbidden``: ``item``; ``allowed``: ``item``.
 
-    Items of four or more characters with a letter count. A text meets an item
-    only where it has the item's rarest word: word and item are joined by
-    equality, and the whole item is looked for in those texts alone.
+    Items of four or more characters with a letter count.
     """
     items = forbidden.select("item").distinct().withColumn("needle", X.plain_words("item")).where("length(needle) >= 4 and needle rlike '[a-z]'")
     if allowed is not None:
-        items = items.join(allowed.select(X.plain_words("item").alias("needle")).distinct(), "needle", "left_anti")
+        items = items.join(allowed.select(X.plain_words("item").alias("needle")).distinct(), "needle", "left_anti").select("item", "needle")
     hay = blind.where("leaf is not null").select("key", X.plain_words("leaf").alias("hay"))
-    words = hay.select("key", "hay", F.explode(F.array_distinct(F.split("hay", " "))).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    each = items.select("item", "needle", F.explode(F.array_distinct(F.split("needle", " "))).alias("word")).where("word != ''").join(counts, "word", "left")
-    rare = each.groupBy("item", "needle").agg(F.min_by("word", F.struct(F.coalesce("df", F.lit(0)), "word")).alias("word"))
-    return words.join(rare, "word").where(X.contains_whole(F.col("hay"), F.col("needle"))).select("key", "item").distinct()
+    return phrase_hits(hay, items, []).select("key", "item").distinct()
 
 
 def fit_limits(sites: DataFrame) -> DataFrame:
