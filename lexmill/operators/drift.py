@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from lexmill.session import durable
 
-#: Nested objects of items whose own fields are followed, by level.
-NESTED = ("role_forms",)
+#: Objects of open items whose own fields are followed, under this name and every one it is renamed to.
+NESTED = "open.role_forms"
 
 PROFILE = "array<struct<path:string,type:string,nulls:int,items:array<long>,hashes:array<long>>>"
 CHANGES = "file_no long, field_path string, change string"
@@ -43,8 +43,8 @@ def _canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, ensure_ascii=True)
 
 
-def paths(body: object) -> Iterator[tuple[str, str, object]]:
-    """(path, term or item, value) of every field of one parsed file."""
+def paths(body: object, nested: frozenset[str] | None = None) -> Iterator[tuple[str, str, object]]:
+    """(path, term or item, value) of every field of one parsed file; below objects of open items only those ``nested``, or all."""
     if not isinstance(body, dict):
         return
     for field, value in body.items():
@@ -56,7 +56,7 @@ def paths(body: object) -> Iterator[tuple[str, str, object]]:
         if isinstance(x, dict):
             for field, value in x.items():
                 yield f"{level}.{field}", name, value
-                if field in NESTED and isinstance(value, dict):
+                if level == "open" and isinstance(value, dict) and (nested is None or f"open.{field}" in nested):
                     for inner, v in value.items():
                         yield f"{level}.{field}.{inner}", name, v
 
@@ -167,6 +167,24 @@ def field_changes(files: DataFrame) -> DataFrame:
     no part as a predecessor either way (it yields no rows); an empty table
     gives an empty result; other columns are ignored.
     """
+    every = durable(all_changes(files), "changes")
+    parent = F.substring_index("field_path", ".", 2)
+    below = F.size(F.split("field_path", r"\.")) > 2
+    return every.where(~below | parent.isin(sorted(nested_names(every))))
+
+
+def nested_names(changes: DataFrame) -> frozenset[str]:
+    """The names of the followed object: NESTED and what renames link it with, directly or through others; field names bound their number."""
+    renames = changes.where("change = 'renamed' and field_path like 'open.%'").where(F.size(F.split("field_path", r"\.")) == 2)
+    pairs = [(r.former_path, r.field_path) for r in renames.select("former_path", "field_path").distinct().collect()]
+    names = {NESTED}
+    while more := {x for p in pairs if names & set(p) for x in p} - names:
+        names |= more
+    return frozenset(names)
+
+
+def all_changes(files: DataFrame) -> DataFrame:
+    """:func:`field_changes` with the fields below every object of open items."""
     profiles = durable(file_profiles(files.dropDuplicates(["file_no"])), "profiles")
     good = profiles.where("profile is not null")
     pairs = predecessors(good)
@@ -204,7 +222,7 @@ def canonical_names(changes: DataFrame) -> dict[str, str]:
     return {x: root(x) for x in parent if root(x) != x}
 
 
-def long_values(files: DataFrame) -> DataFrame:
+def long_values(files: DataFrame, nested: frozenset[str] = frozenset({NESTED})) -> DataFrame:
     """``file_no app_no locale rev level item path type value``: one row per file, term or item and field; values as JSON text, strings bare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +234,7 @@ def long_values(files: DataFrame) -> DataFrame:
                     parsed = json.loads(row.column(4)[0].as_py() or "null")
                 except ValueError:
                     parsed = None
-                cells = [(k, p, raw_type(v), v if isinstance(v, str) or v is None else _canonical(v)) for p, k, v in paths(parsed) if p not in ("terms", "open")]
+                cells = [(k, p, raw_type(v), v if isinstance(v, str) or v is None else _canonical(v)) for p, k, v in paths(parsed, nested) if p not in ("terms", "open")]
                 n = len(cells)
                 columns = list(zip(*cells)) or [[], [], [], []]
                 head = [pa.concat_arrays([c] * n) if n else c.slice(0, 0) for c in row.columns[:4]]
@@ -242,9 +260,15 @@ def consistent_values(files: DataFrame, names: dict[str, str], types: dict[str,
     """:func:`long_values` under canonical names with ``as_type``, ``cast_ok``: the typed projection in long form, from which tables are pivoted."""
     types = TYPES | (types or {})
     mapping = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair]) if names else None
-    path = F.coalesce(mapping[F.col("path")], "path") if mapping is not None else F.col("path")
+    path = F.col("path")
+    if mapping is not None:
+        # the object's own name first, then the field's name below it
+        parent = F.substring_index("path", ".", 2)
+        path = F.when(F.size(F.split("path", r"\.")) > 2, F.concat(F.coalesce(mapping[parent], parent), F.lit("."), F.substring_index("path", ".", -1))).otherwise(path)
+        path = F.coalesce(mapping[path], path)
     kinds = F.create_map(*[F.lit(x) for pair in sorted(types.items()) for x in pair])
-    rows = long_values(files).withColumn("field_path", path).drop("path").withColumn("as_type", F.coalesce(kinds[F.col("field_path")], F.lit("string")))
+    nested = frozenset({NESTED, *(x for x, y in names.items() if y == names.get(NESTED, NESTED))})
+    rows = long_values(files, nested).withColumn("field_path", path).drop("path").withColumn("as_type", F.coalesce(kinds[F.col("field_path")], F.lit("string")))
     ok = F.when(F.col("value").isNull(), True)
     for kind in sorted(set(types.values()) - {"string"}):
         ok = ok.when(F.col("as_type") == kind, _typed(F.col("value"), kind).isNotNull())

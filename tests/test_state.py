@@ -198,6 +198,12 @@ def test_drift(spark):
         (3, "open.role_forms.uno", "renamed"), (3, "open.role_forms.two", "type_changed"), (2, "version", "type_changed"), (2, "open.role_forms", "removed"),
     }
     assert drift.field_changes(files.limit(0)).count() == 0
+    d = [{"open": [{"id": "i", "role_forms": {"one": "o"}, "who": {"x": 1}}]}, {"open": [{"id": "i", "forms": {"one": "o"}, "who": {"y": 2}}]}, {"open": [{"id": "i", "forms": {"one": 1, "two": "p"}, "who": {"z": 2}}]}]
+    followed = spark.createDataFrame([glossary_file(i, i + 1, x) for i, x in enumerate(d)], FILE)
+    assert {(r.file_no, r.field_path, r.change) for r in drift.field_changes(followed).collect()} == {(1, "open.forms", "renamed"), (2, "open.forms.one", "type_changed"), (2, "open.forms.two", "added")}
+    forms = drift.canonical_names(drift.field_changes(followed))
+    got = {(r.file_no, r.field_path, r.value) for r in drift.consistent_values(followed, forms).where("field_path like 'open.role_forms.%'").collect()}
+    assert got == {(0, "open.role_forms.one", "o"), (1, "open.role_forms.one", "o"), (2, "open.role_forms.one", "1"), (2, "open.role_forms.two", "p")}
     names = drift.canonical_names(drift.field_changes(files))
     assert names == {"terms.q": "terms.p", "open.role_forms.uno": "open.role_forms.one"}
     table = drift.consistent_table(files, "terms", names, ["p", "n"], {"terms.n": "int"})
