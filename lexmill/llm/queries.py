@@ -71,6 +71,37 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(record_texts(table(spark, sf_dir, "pilot_staged")))
 
 
+#: The same pairs by the rarest words of each set, of which two similar sets share one.
+P4_SQL = r"""
+WITH texts AS (
+  SELECT id, text FROM pilot_staged WHERE text IS NOT NULL
+  UNION
+  SELECT id, imported.text FROM pilot_staged WHERE imported.text IS NOT NULL
+), w AS (
+  SELECT DISTINCT id, list_sort(list_distinct(regexp_extract_all(lower(replace(text, 'İ', 'I' || chr(775))), '[\p{L}\p{N}]+'))) AS ws FROM texts
+), s AS (
+  SELECT ws, row_number() OVER () AS sid FROM (SELECT DISTINCT ws FROM w WHERE len(ws) > 0)
+), u AS (
+  SELECT sid, len(ws) AS n, unnest(ws) AS word FROM s
+), df AS (
+  SELECT word, count(*) AS d FROM u GROUP BY word
+), r AS (
+  SELECT sid, n, word, row_number() OVER (PARTITION BY sid ORDER BY d, word) AS k FROM u JOIN df USING (word)
+), p AS (
+  SELECT sid, n, word FROM r WHERE k <= n - ceil(0.8 * n) + 1
+), c AS (
+  SELECT DISTINCT a.sid AS x, b.sid AS y FROM p a JOIN p b ON a.word = b.word AND a.sid < b.sid AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+), m AS (
+  SELECT x, y FROM c JOIN s a ON a.sid = x JOIN s b ON b.sid = y
+  WHERE 9 * len(list_intersect(a.ws, b.ws)) >= 4 * (len(a.ws) + len(b.ws))
+  UNION ALL SELECT sid, sid FROM s
+), o AS (
+  SELECT id, sid FROM w JOIN s USING (ws)
+)
+SELECT DISTINCT least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b FROM m JOIN o a ON a.sid = x JOIN o b ON b.sid = y WHERE a.id <> b.id
+"""
+
+
 def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value with its one form."""
     values = review_values(*(table(spark, sf_dir, t) for t in ("editor_packets", "fidelity_reviews", "glossary_open")))
@@ -115,4 +146,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_SQL}
+    return {"p3_found": P3_SQL, "p4_found": P4_SQL}
