@@ -60,6 +60,25 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Puts a file into the shared folder and hands it to every executor, also to later ones; its name for ``SparkFiles.get``.
+
+    ``name`` must tell the contents apart, as a hash does.
+    """
+    context = spark.sparkContext
+    if name not in {os.path.basename(x) for x in context.listFiles}:
+        make = spark._jvm.org.apache.hadoop.fs.Path
+        path, part = make(f"{shared_dir(spark)}/{name}"), make(f"{shared_dir(spark)}/{name}.{uuid.uuid4().hex}")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            out = files.create(part)
+            out.write(data)
+            out.close()
+            files.rename(part, path)
+        context.addFile(path.toString())
+    return name
+
+
 def forget(df: DataFrame) -> None:
     """Remove the files behind a result of :func:`durable` that nothing reads any more."""
     spark = df.sparkSession
