@@ -7,11 +7,7 @@ memory. Words it lacks are merged exactly from the public ranks.
 
 from __future__ import annotations
 
-import atexit
 import hashlib
-import os
-import shutil
-import tempfile
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -24,7 +20,8 @@ from pyspark.sql import types as T
 
 from lexmill.llm.bounded import at_most, log_level
 from lexmill.llm.bpe import load_ranks, merge, split_words
-from lexmill.llm.transducer import Transducer, compile_transducer, save
+from lexmill.llm.transducer import Transducer, compile_transducer, pack
+from lexmill.session import share_file
 
 #: Words in the lexicon; those beyond it are merged, with the same result.
 LEXICON_WORDS = 40_000
@@ -74,18 +71,8 @@ def build_lexicon(docs: DataFrame | None, text_col: str, ranks_path: str, size:
     else:
         top = at_most(word_counts(docs, text_col), log_level("n"), size)
         words = [bytes(r.word) for r in top.select("word").collect()]
-    arrays = compile_transducer([(w, merge(w, ranks)) for w in words])
-    folder = tempfile.mkdtemp(prefix="lexicon-")
-    atexit.register(shutil.rmtree, folder, True)  # executors may fetch the file as long as the session lives
-    path = os.path.join(folder, "new")
-    save(arrays, path)
-    with open(path, "rb") as f:
-        name = f"lexicon-{hashlib.sha1(f.read()).hexdigest()[:16]}.bin"
-    context = SparkSession.getActiveSession().sparkContext
-    if name not in {os.path.basename(x) for x in context.listFiles}:
-        os.rename(path, os.path.join(folder, name))
-        context.addFile(os.path.join(folder, name))
-    return name
+    data = pack(compile_transducer([(w, merge(w, ranks)) for w in words]))
+    return share_file(SparkSession.getActiveSession(), f"lexicon-{hashlib.sha1(data).hexdigest()[:16]}.bin", data)
 
 
 class Encoder:

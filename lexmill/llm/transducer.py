@@ -64,14 +64,13 @@ def compile_transducer(entries: list[tuple[bytes, list[int]]]) -> dict[str, np.n
     }
 
 
-def save(arrays: dict[str, np.ndarray], path: str) -> None:
-    """One file: a line with the lengths, then the arrays, each at a multiple of 64 bytes."""
-    head = ",".join(f"{k}:{arrays[k].dtype.str}:{len(arrays[k])}" for k in ARRAYS).encode()
-    with open(path, "wb") as out:
-        out.write(head.ljust(1024, b" "))
-        for k in ARRAYS:
-            out.write(b"\0" * (-out.tell() % 64))
-            out.write(np.ascontiguousarray(arrays[k]).tobytes())
+def pack(arrays: dict[str, np.ndarray]) -> bytes:
+    """A line with the lengths, then the arrays, each at a multiple of 64 bytes."""
+    out = bytearray(",".join(f"{k}:{arrays[k].dtype.str}:{len(arrays[k])}" for k in ARRAYS).encode().ljust(1024, b" "))
+    for k in ARRAYS:
+        out += b"\0" * (-len(out) % 64)
+        out += np.ascontiguousarray(arrays[k]).tobytes()
+    return bytes(out)
 
 
 class Transducer:
