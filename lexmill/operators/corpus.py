@@ -14,6 +14,8 @@ from lexmill.operators.worklist import source_hash
 # Review roles, and those that must pass.
 ROLES = ("editor", "backtranslation", "fidelity", "adjudicator")
 REQUIRED = ("editor", "fidelity", "adjudicator")
+#: Contexts that are broadcast.
+BROADCAST_ROWS = 10_000
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -24,7 +26,11 @@ def content_kind(category: Column, attributed: Column, status: Column) -> Column
 def scoped_contexts(jobs: DataFrame, contexts: DataFrame) -> DataFrame:
     """``job context``: contexts whose scope is ``*``, the job's locale or ``category:`` and its category; three equi joins instead of one on a condition."""
     scopes = F.explode(F.array(F.lit("*"), F.col("locale"), F.concat(F.lit("category:"), F.col("category"))))
-    return jobs.select("job", scopes.alias("scope")).join(contexts.select("scope", "context"), "scope").select("job", "context").distinct()
+    stated = contexts.select("scope", "context").distinct()
+    # every job has the scope *, so a table of few contexts goes to the jobs; a longer one is joined by shuffling
+    if stated.count() <= BROADCAST_ROWS:
+        stated = F.broadcast(stated)
+    return jobs.select("job", scopes.alias("scope")).join(stated, "scope").select("job", "context").distinct()
 
 
 def fingerprints(jobs: DataFrame) -> DataFrame:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
+import io
 import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +63,39 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Hands this package to the Python workers, wherever they run; once per application."""
+    context = spark.sparkContext
+    if any(os.path.basename(x).startswith("lexmill-code-") for x in context.listFiles):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(root):  # already imported from such an archive
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                entry = zipfile.ZipInfo(os.path.join("lexmill", os.path.relpath(path, root)))
+                with open(path, "rb") as f:
+                    out.writestr(entry, f.read())
+    name = f"lexmill-code-{hashlib.sha1(data.getvalue()).hexdigest()[:16]}.zip"
+    context.addPyFile(_put(spark, name, data.getvalue()))
+
+
+def _put(spark: SparkSession, name: str, data: bytes) -> str:
+    """Writes a file of the shared folder whole or not at all; its path."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    path, part = make(f"{shared_dir(spark)}/{name}"), make(f"{shared_dir(spark)}/{uuid.uuid4().hex}-{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        out = files.create(part)
+        out.write(data)
+        out.close()
+        files.rename(part, path)
+    return path.toString()
+
+
 def share_file(spark: SparkSession, name: str, data: bytes) -> str:
     """Puts a file into the shared folder and hands it to every executor, also to later ones; its name for ``SparkFiles.get``.
 
@@ -67,15 +103,7 @@ def share_file(spark: SparkSession, name: str, data: bytes) -> str:
     """
     context = spark.sparkContext
     if name not in {os.path.basename(x) for x in context.listFiles}:
-        make = spark._jvm.org.apache.hadoop.fs.Path
-        path, part = make(f"{shared_dir(spark)}/{name}"), make(f"{shared_dir(spark)}/{name}.{uuid.uuid4().hex}")
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
-            out = files.create(part)
-            out.write(data)
-            out.close()
-            files.rename(part, path)
-        context.addFile(path.toString())
+        context.addFile(_put(spark, name, data))
     return name
 
 
