@@ -94,13 +94,14 @@ SELECT category, locale, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS
 
 
 def scoped_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who decided glossary items that concern a job: decided ones by locale, others everywhere."""
     jobs = pairs(spark, sf_dir).select(F.col("key").alias("job"), "locale", "category").distinct()
-    g = table(spark, sf_dir, "glossary_open").select(F.when(F.col("status") == "decided", F.col("locale")).otherwise("*").alias("scope"), F.col("item_id").alias("context")).distinct()
+    g = table(spark, sf_dir, "glossary_open").select(F.when(F.col("status") == "decided", F.col("locale")).otherwise("*").alias("scope"), F.col("decided_by").alias("context")).distinct()
     return corpus.scoped_contexts(jobs, g).groupBy("job").agg(F.count(F.lit(1)).alias("n_contexts"))
 
 
-SCOPE_SQL = f"""WITH {PAIRS}, g AS (SELECT DISTINCT CASE WHEN status = 'decided' THEN locale ELSE '*' END AS scope, item_id FROM glossary_open)
-SELECT p.key AS job, count(DISTINCT g.item_id) AS n_contexts FROM pairs p JOIN g ON g.scope IN ('*', p.locale, 'category:' || p.category) GROUP BY 1"""
+SCOPE_SQL = f"""WITH {PAIRS}, g AS (SELECT DISTINCT CASE WHEN status = 'decided' THEN locale ELSE '*' END AS scope, decided_by FROM glossary_open)
+SELECT p.key AS job, count(DISTINCT g.decided_by) AS n_contexts FROM pairs p JOIN g ON g.scope IN ('*', p.locale, 'category:' || p.category) GROUP BY 1"""
 
 
 def _review_log(spark: SparkSession, sf_dir: str) -> DataFrame:
