@@ -55,10 +55,13 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` into the shared folder and read it back.
 
     This cuts the lineage and survives the loss of executors; the columns are
-    stored compressed, which a plain RDD checkpoint would not do.
+    stored compressed, which a plain RDD checkpoint would not do. The files stay
+    as long as the driver lives, as the result reads them lazily.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"lexmill-{label}-{uuid.uuid4().hex}")
+    if path.startswith(("file:", "/")):  # other file systems are cleared by whoever names the folder
+        atexit.register(shutil.rmtree, path.removeprefix("file://").removeprefix("file:"), True)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
