@@ -146,10 +146,10 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def token_counts(docs: DataFrame, text_col: str, out_col: str = "n_tokens", ranks_path: str | None = None) -> DataFrame:
-    """``docs`` with the number of tokens of ``text_col``; 0 for null and empty texts."""
+    """``docs`` with the number of tokens in place of ``text_col``; 0 for null and empty texts. A column ``out_col`` is replaced."""
     ranks_path = ranks_path or default_ranks()
     lexicon = build_lexicon(None, text_col, ranks_path, 1 << 17)
-    keep = [c for c in docs.columns if c != text_col]
+    keep = [c for c in docs.columns if c not in (text_col, out_col)]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(out_col, T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
