@@ -21,7 +21,8 @@ from lexmill.session import durable
 #: Objects of open items whose own fields are followed, under this name and every one it is renamed to.
 NESTED = "open.role_forms"
 
-PROFILE = "array<struct<path:string,type:string,nulls:int,items:array<long>,hashes:array<long>>>"
+#: Per path: its type, its nulls, and the terms or items that have it with the hashes of their values, eight bytes each.
+PROFILE = "array<struct<path:string,type:string,nulls:int,items:binary,hashes:binary>>"
 CHANGES = "file_no long, field_path string, change string"
 
 
@@ -35,8 +36,14 @@ def raw_type(value: object) -> str | None:
     raise TypeError(type(value))
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+def _hash(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+
+
+def _values(p: dict) -> dict[bytes, bytes]:
+    """Item -> value, both as hashes."""
+    items, hashes = p["items"], p["hashes"]
+    return {items[i : i + 8]: hashes[i : i + 8] for i in range(0, len(items), 8)}
 
 
 def _canonical(value: object) -> str:
@@ -79,7 +86,7 @@ def profile(body: str | None) -> list[dict] | None:
             kinds = {"double"}
         out.append({
             "path": path, "type": "|".join(sorted(kinds)) or None, "nulls": sum(v is None for v in values.values()),
-            "items": [_hash(k) for k in values], "hashes": [_hash(_canonical(v)) for v in values.values()],
+            "items": b"".join(_hash(k) for k in values), "hashes": b"".join(_hash(_canonical(v)) for v in values.values()),
         })
     return out
 
@@ -92,10 +99,15 @@ def compare(old: list[dict], new: list[dict]) -> list[tuple[str, str, str | None
     below a reported one are left out.
     """
     a, b = ({p["path"]: p for p in x} for x in (old, new))
-    at = lambda p: dict(zip(p["items"], p["hashes"]))
     level = lambda path: path.rpartition(".")[0]
-    have = [{i for p in x.values() for i in p["items"] if level(p["path"]).partition(".")[0] == top} for x, top in ((a, "terms"), (b, "terms"), (a, "open"), (b, "open"))]
-    both = {"": {_hash("")}, "terms": have[0] & have[1], "open": have[2] & have[3]}
+
+    def shared(top: str) -> set[bytes]:
+        """The terms or items of both files; a head field has the one of no name."""
+        if not top:
+            return {_hash("")}
+        return set.intersection(*({i for p in x.values() if p["path"].startswith(top + ".") for i in _values(p)} for x in (a, b)))
+
+    both: dict[str, set[bytes]] = {}
     changes: list[tuple[str, str, str | None]] = []
     closed: set[str] = set()
 
@@ -107,10 +119,16 @@ def compare(old: list[dict], new: list[dict]) -> list[tuple[str, str, str | None
         gone = [p for p in sorted(a) if p not in b and p.count(".") == depth and not below(p)]
         come = [p for p in sorted(b) if p not in a and p.count(".") == depth and not below(p)]
         for old_path in list(gone):
-            common = both[level(old_path).partition(".")[0]]
-            before = {i: h for i, h in at(a[old_path]).items() if i in common}
-            for path in come:
-                if level(path) == level(old_path) and before and before == {i: h for i, h in at(b[path]).items() if i in common}:
+            rivals = [path for path in come if level(path) == level(old_path)]
+            if not rivals:
+                continue
+            top = level(old_path).partition(".")[0]
+            if top not in both:
+                both[top] = shared(top)
+            common = both[top]
+            before = {i: h for i, h in _values(a[old_path]).items() if i in common}
+            for path in rivals:
+                if before and before == {i: h for i, h in _values(b[path]).items() if i in common}:
                     changes.append((path, "renamed", old_path))
                     closed |= {path, old_path}
                     gone.remove(old_path)
@@ -134,7 +152,7 @@ def file_profiles(files: DataFrame) -> DataFrame:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 made = [profile(x) for x in part.column(5).to_pylist()]
-                kind = kind or pa.list_(pa.struct([("path", pa.string()), ("type", pa.string()), ("nulls", pa.int32()), ("items", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int64()))]))
+                kind = kind or pa.list_(pa.struct([("path", pa.string()), ("type", pa.string()), ("nulls", pa.int32()), ("items", pa.binary()), ("hashes", pa.binary())]))
                 yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(made, kind)], [*SLIM, "profile"])
 
     kinds = {f.name: f.dataType.simpleString() for f in files.schema}
