@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.text import trim_ws
 from lexmill.operators.skew import hot_keys_of, salted_join
 from lexmill.session import durable, forget
 
@@ -81,7 +82,7 @@ PAIR_ID = r"^[\p{L}_]+-[0-9]+$"
 
 def pair_hub(category: str, pair_id: str):
     """The hub of a (category, pair id), null where the pair id is none."""
-    tidy = F.lower(F.regexp_replace(F.col(pair_id), r"^[\s ]+|[\s ]+$", ""))
+    tidy = F.lower(trim_ws(pair_id))
     return F.when(tidy.rlike(PAIR_ID), F.concat_ws("\u0001", F.lit("pair"), F.col(category), tidy))
 
 
