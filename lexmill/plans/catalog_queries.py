@@ -32,10 +32,10 @@ def unit_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def findings_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All unit checks over entries and imports, by check and severity."""
-    p, i, e = pairs(spark, sf_dir), imports(spark, sf_dir), packet_entries(spark, sf_dir)
-    found = checks.placeholder_findings(i).union(checks.markup_findings(p)).union(checks.typography_findings(e)).union(checks.identity_findings(p))
-    return checks.summary(found)
+    """Markup, typography and identity findings over entries and imports, by check and severity."""
+    i = imports(spark, sf_dir)
+    markup = checks.markup_findings(i).where("severity = 'major' or message = 'double blank'")
+    return checks.summary(markup.union(checks.typography_findings(packet_entries(spark, sf_dir))).union(checks.identity_findings(i)))
 
 
 def placeholder_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,8 +375,15 @@ def queries() -> dict:
     )}
 
 
+def _summary_sql() -> str:
+    parts = (("C3", MARKUP_SQL), ("C4", _typography_sql()), ("C8", IDENTITY_SQL))
+    union = " UNION ALL ".join(f"SELECT '{c}' AS \"check\", severity, key FROM ({q})" for c, q in parts)
+    return f'SELECT "check", severity, count(*) AS n, count(DISTINCT key) AS n_keys FROM ({union}) GROUP BY 1, 2'
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "findings_summary": _summary_sql(),
         "unit_inventory": f"WITH {PAIRS} SELECT locale, kind, verdict, count(*) AS n, count(DISTINCT key) AS n_keys, sum(length(target))::BIGINT AS characters, max(length(target)) AS longest FROM pairs GROUP BY 1, 2, 3",
         "placeholder_diff": PLACEHOLDER_SQL, "markup_parity": MARKUP_SQL, "typography_rules": _typography_sql(), "length_ratio_render_list": RATIO_SQL, "forbidden_terms": FORBIDDEN_SQL, "term_prefix_counts": PREFIX_SQL,
         "option_counts": OPTION_SQL, "control_drift": CONTROL_SQL, "state_gate": STATE_SQL, "identity_check": IDENTITY_SQL, "same_source_divergence": DIVERGENCE_SQL, "tier_classification": TIER_SQL, "length_classes": LENGTH_CLASS_SQL,
