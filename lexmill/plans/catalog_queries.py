@@ -218,12 +218,13 @@ NEIGHBOUR_SQL = "SELECT o_custkey, o_orderkey, lag(o_orderkey) OVER w AS before,
 
 
 def fixed_size_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviewed = table(spark, sf_dir, "fidelity_reviews").select(F.concat(F.col("packet_no").cast("string"), F.lit(":"), "entry_id").alias("key"))
-    jobs = pairs(spark, sf_dir).select("key").distinct()
-    return worklist.fixed_batches(jobs, reviewed, "key", 40).select("key", "batch", "place")
+    """Staged quotes that no packet holds yet, forty to a batch."""
+    jobs = table(spark, sf_dir, "pilot_staged").select(F.col("id").alias("key")).distinct()
+    held = pairs(spark, sf_dir).select(F.col("source_id").alias("key"))
+    return worklist.fixed_batches(jobs, held, "key", 40).select("key", "batch", "place")
 
 
-FIXED_SQL = f"""WITH {PAIRS}, f AS (SELECT DISTINCT key FROM pairs WHERE key NOT IN (SELECT packet_no || ':' || entry_id FROM fidelity_reviews))
+FIXED_SQL = f"""WITH {PAIRS}, f AS (SELECT DISTINCT id AS key FROM pilot_staged WHERE id NOT IN (SELECT source_id FROM pairs WHERE source_id IS NOT NULL))
 SELECT key, (n - 1) // 40 AS batch, (n - 1) % 40 AS place FROM (SELECT key, row_number() OVER (ORDER BY key) AS n FROM f)"""
 
 
@@ -357,14 +358,18 @@ OPAQUE_SQL = "SELECT key, n_docs, row_number() OVER (ORDER BY key) AS n FROM (SE
 
 
 def key_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first document (by id) that quotes a known screen key in backticks."""
+    """The first document (by id) that quotes a key of a known screen in backticks."""
     d = table(spark, sf_dir, "documents")
-    found = d.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("`([a-z][A-Za-z0-9.]*)`"), F.lit(1)))).alias("key"))
-    return found.join(d.select(F.col("screen_key").alias("key")).distinct(), "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.countDistinct("doc_id").alias("n_docs"))
+    quoted = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("`([a-z][A-Za-z0-9]*[.][A-Za-z0-9.]*)`"), F.lit(1))))
+    found = d.select("doc_id", quoted.alias("quoted")).select("doc_id", F.substring_index("quoted", ".", 2).alias("key"))
+    screens = d.select(F.substring_index("screen_key", ".", 2).alias("key")).distinct()
+    return found.join(screens, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.countDistinct("doc_id").alias("n_docs"))
 
 
-MENTION_SQL = """SELECT key, min(doc_id) AS first_doc, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, unnest(regexp_extract_all(text, '`([a-z][A-Za-z0-9.]*)`', 1)) AS key FROM documents)
-WHERE key IN (SELECT screen_key FROM documents) GROUP BY 1"""
+_SCREEN = "array_to_string(string_split({0}, '.')[1:2], '.')"
+MENTION_SQL = f"""SELECT key, min(doc_id) AS first_doc, count(DISTINCT doc_id) AS n_docs
+FROM (SELECT doc_id, {_SCREEN.format("q")} AS key FROM (SELECT doc_id, unnest(regexp_extract_all(text, '`([a-z][A-Za-z0-9]*[.][A-Za-z0-9.]*)`', 1)) AS q FROM documents))
+WHERE key IN (SELECT {_SCREEN.format("screen_key")} FROM documents) GROUP BY 1"""
 
 
 def queries() -> dict:
