@@ -31,7 +31,7 @@ from lexmill.llm.components import seed_forest
 from lexmill.operators.skew import hot_keys_of, salted_join
 from lexmill.session import durable
 
-#: Sets of more words are hashed by their words instead of by the bits of their sketches, which would be full.
+#: Sets of more words are hashed by their words only instead of by the bits of their sketches, which would be full.
 LONG = 120
 #: Sets of one bucket that are compared with each other without splitting it further.
 PAIRED = 256
@@ -71,6 +71,12 @@ def short_limit(s: float) -> int:
     return next((n for n in range(LONG, 0, -1) if 3 * (radius_range(n, s)[1] // 2 + 1) < 256), 0)
 
 
+def long_from(s: float) -> int:
+    """The smallest sets that are hashed by their words: those with a possible partner over the limit of the short ones, so that pairs across it meet too."""
+    limit = short_limit(s)
+    return next(n for n in range(1, limit + 2) if math.floor(n / s + 1e-9) > limit)
+
+
 _masks: dict[tuple[int, int], np.ndarray] = {}
 
 
@@ -289,11 +295,11 @@ def _hot_buckets(sets: DataFrame, s: float, total: int) -> set[tuple[int, int, i
 def near_sketches(sets: DataFrame, s: float) -> DataFrame:
     """``lo1 hi1 lo2 hi2``: distinct pairs of different sketches that may belong to similar sets; none is missed.
 
-    ``sets``: ``lo hi n words`` (``words`` is only read for long sets).
+    ``sets``: ``lo hi n words`` (``words`` is only read for sets of ``long_from`` words or more).
     """
     total = sets.count()
     hot = _hot_buckets(sets, s, total)
-    limit = short_limit(s)
+    limit, by_words = short_limit(s), long_from(s)
     per_set = 30 * ENTRY.itemsize
     tasks = max(sets.sparkSession.sparkContext.defaultParallelism, math.ceil(total * per_set / TASK_BYTES))
 
@@ -316,7 +322,7 @@ def near_sketches(sets: DataFrame, s: float) -> DataFrame:
             short = n <= limit
             yield from blobs("short", list(entries(n[short], lo[short], hi[short], s, hot)))
             tables = []
-            for i in np.flatnonzero(~short).tolist():
+            for i in np.flatnonzero(n >= by_words).tolist():
                 hashes = np.array([word_hash(w) for w in batch.column(3)[i].as_py().split(" ")], np.uint64)
                 least, most = radius_range(int(n[i]), s)
                 for c in range(long_class(least), long_class(most) + 1):
@@ -339,7 +345,7 @@ def near_sketches(sets: DataFrame, s: float) -> DataFrame:
         pairs = local_pairs(np.frombuffer(b"".join(held["short"]), ENTRY), np.frombuffer(b"".join(held["long"]), LONG_ENTRY), s)
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64)) for i in range(4)], ["lo1", "hi1", "lo2", "hi2"])
 
-    wide = sets.select("lo", "hi", "n", F.when(F.col("n") > limit, F.col("words")).alias("words"))
+    wide = sets.select("lo", "hi", "n", F.when(F.col("n") >= by_words, F.col("words")).alias("words"))
     sent = wide.mapInArrow(spread, "task int, kind string, data binary").repartitionById(tasks, "task")
     return sent.mapInArrow(pair, "lo1 long, hi1 long, lo2 long, hi2 long").distinct()
 
@@ -347,10 +353,13 @@ def near_sketches(sets: DataFrame, s: float) -> DataFrame:
 def similar_sets(sketched: DataFrame, s: float) -> DataFrame:
     """``lo1 hi1 w1 lo2 hi2 w2``: pairs of different word sets with similarity ``s`` or more (``w``: hash of the words)."""
     sets = sketched.select("lo", "hi", "n", "words")
-    one = durable(sets.groupBy("lo", "hi", "n").agg(F.when(F.col("n") > short_limit(s), F.min("words")).alias("words"), (F.min("words") != F.max("words")).alias("several")), "sets")
+    # what is hashed by its words stays apart by them
+    kept = sets.select("lo", "hi", "n", F.when(F.col("n") >= long_from(s), F.col("words")).alias("words"), F.xxhash64("words").alias("w"))
+    one = durable(kept.groupBy("lo", "hi", "n", "words").agg(F.min("w").alias("w"), (F.min("w") != F.max("w")).alias("several")), "sets")
     pairs = durable(near_sketches(one, s), "pairs")
     # sketches whose sets differ nevertheless are pairs with themselves
-    twins = one.where("several").select(F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    twins = one.groupBy("lo", "hi", "n").agg((F.max("several") | (F.min("w") != F.max("w"))).alias("several")).where("several")
+    twins = twins.select(F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     asked = pairs.union(twins.distinct())
     needed = asked.select(F.col("lo1").alias("lo"), F.col("hi1").alias("hi")).union(asked.select("lo2", "hi2")).distinct()
     words = durable(sets.join(needed, ["lo", "hi"], "left_semi").distinct(), "words")

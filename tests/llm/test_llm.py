@@ -187,6 +187,27 @@ def test_hot_buckets_lose_no_pair():
                 assert (*k[0], *k[1]) in found
 
 
+@pytest.mark.parametrize("a,b,s", [(118, 124, 0.8), (120, 121, 0.8), (97, 121, 0.8), (120, 150, 0.8), (100, 180, 0.5)])
+def test_pairs_across_the_border_of_long_sets(spark, a, b, s):
+    rows = [(f"{g}{n}", " ".join(f"{g}x{i}" for i in range(n))) for g in "abcdefgh" for n in (a, b)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    got = {(r.id_a, r.id_b) for r in covering.similar_pairs(df, s).collect()}
+    assert got == brute_pairs(rows, s) and len(got) == 8
+
+
+def same_bit_words(n):
+    """``n`` words that hash to one bit of the sketch."""
+    return list(itertools.islice((w for w in (f"t{i}" for i in itertools.count()) if covering.word_hash(w) & 127 == 5), n))
+
+
+def test_long_sets_of_one_sketch_are_each_hashed(spark):
+    base, out, other = [f"x{i}" for i in range(110)], same_bit_words(20)[:10], same_bit_words(20)[10:]
+    partner = [*base, *other, *(f"y{i}" for i in range(14))]
+    rows = [("a", " ".join(base + out)), ("b", " ".join(base + other)), ("c", " ".join(partner))]
+    df = spark.createDataFrame(rows, "id string, text string")
+    assert {(r.id_a, r.id_b) for r in covering.similar_pairs(df).collect()} == brute_pairs(rows)
+
+
 def test_near_duplicates_of_nothing(spark):
     none = spark.createDataFrame([], "id string, text string")
     assert covering.similar_pairs(none).count() == 0 and covering.similar_groups(none).count() == 0
