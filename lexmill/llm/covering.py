@@ -357,14 +357,15 @@ def similar_sets(sketched: DataFrame, s: float) -> DataFrame:
     kept = sets.select("lo", "hi", "n", F.when(F.col("n") >= long_from(s), F.col("words")).alias("words"), F.xxhash64("words").alias("w"))
     one = durable(kept.groupBy("lo", "hi", "n", "words").agg(F.min("w").alias("w"), (F.min("w") != F.max("w")).alias("several")), "sets")
     pairs = durable(near_sketches(one, s), "pairs")
-    # sketches whose sets differ nevertheless are pairs with themselves
-    twins = one.groupBy("lo", "hi", "n").agg((F.max("several") | (F.min("w") != F.max("w"))).alias("several")).where("several")
+    # sketches whose sets differ nevertheless, in size or not, are pairs with themselves
+    twins = one.groupBy("lo", "hi").agg((F.max("several") | (F.min("w") != F.max("w"))).alias("several")).where("several")
     twins = twins.select(F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     asked = pairs.union(twins.distinct())
     needed = asked.select(F.col("lo1").alias("lo"), F.col("hi1").alias("hi")).union(asked.select("lo2", "hi2")).distinct()
     words = durable(sets.join(needed, ["lo", "hi"], "left_semi").distinct(), "words")
-    side = lambda k: words.select(F.col("lo").alias(f"lo{k}"), F.col("hi").alias(f"hi{k}"), F.col("words").alias(f"words{k}"))
+    side = lambda k: words.select(F.col("lo").alias(f"lo{k}"), F.col("hi").alias(f"hi{k}"), F.col("n").alias(f"n{k}"), F.col("words").alias(f"words{k}"))
     both = asked.join(side(1), ["lo1", "hi1"]).join(side(2), ["lo2", "hi2"]).where("words1 != words2")
+    both = both.where(F.least("n1", "n2") >= F.greatest("n1", "n2") * s - F.lit(1e-9))
     common = F.size(F.array_intersect(F.split("words1", " "), F.split("words2", " ")))
     union = F.size(F.split("words1", " ")) + F.size(F.split("words2", " ")) - common
     alike = both.where(common >= union * s - F.lit(1e-9))

@@ -208,6 +208,14 @@ def test_long_sets_of_one_sketch_are_each_hashed(spark):
     assert {(r.id_a, r.id_b) for r in covering.similar_pairs(df).collect()} == brute_pairs(rows)
 
 
+def test_equal_sketches_of_different_sizes(spark):
+    base = [f"x{i}" for i in range(28)]
+    rows = [("a", " ".join(base)), ("b", " ".join([*base, *same_bit_words(2)]))]
+    df = spark.createDataFrame(rows, "id string, text string")
+    assert [(r.id_a, r.id_b) for r in covering.similar_pairs(df).collect()] == [("a", "b")]
+    assert {(r.id, r.n_links) for r in covering.similar_groups(df).collect()} == {("a", 1), ("b", 1)}
+
+
 def test_near_duplicates_of_nothing(spark):
     none = spark.createDataFrame([], "id string, text string")
     assert covering.similar_pairs(none).count() == 0 and covering.similar_groups(none).count() == 0
