@@ -15,7 +15,7 @@ import functools
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import ahocorasick
@@ -24,14 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.bounded import at_most
+from lexmill.operators.skew import hot_keys_of, salted_join
 from lexmill.session import durable
 
 #: Rounds over the graph, and the confidence that accepts.
 ROUNDS = 4
 ACCEPT = 0.5
-#: Contexts and instances that are handed to the executors at most, the most confident and frequent first.
+#: Contexts and instances that are handed to the executors, if there are no more of either; else the candidates are joined with them.
 LEXICON = 100_000
+#: Confidence from which a context or an instance counts.
+KNOWN = 0.2
 #: Times a context must occur to be trusted.
 SUPPORT = 3
 
@@ -346,8 +348,8 @@ def evidence(docs: DataFrame, text_col: str) -> DataFrame:
     return parts.groupBy("grp", "context", "instance").agg(F.sum("n").alias("n"))
 
 
-def bootstrap(graph: DataFrame, rounds: int = ROUNDS) -> tuple[dict[tuple[str, str], float], dict[tuple[str, str], float]]:
-    """Confidences of (kind, context) and of (kind, instance), from the seeds; at most LEXICON of each come to the driver."""
+def bootstrap(graph: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """``kind context c`` and ``kind instance score``: the confidences of KNOWN or more, from the seeds."""
     cue = lambda kind: F.lower("context").rlike(r"^[lb] .*(?:" + "|".join(CUES[kind]) + ")")
     links = graph.where("grp != 'seed'")
     kinds = F.when(F.col("grp") == "number", F.array(F.lit("phone"), F.lit("id_number"))).otherwise(F.array("grp"))
@@ -380,10 +382,14 @@ def bootstrap(graph: DataFrame, rounds: int = ROUNDS) -> tuple[dict[tuple[str, s
         scored = durable(best.select("kind", "instance", "all", F.greatest(F.coalesce("seed", F.lit(0.0)), F.col("good") / (F.col("all") + 0.5)).alias("score")), "instances").select("kind", "instance", "score", "all")
         final = scored
         scored = scored.select("kind", "instance", "score")
-    top = lambda df, key, value: {
-        (r[0], r[1]): r[2] for r in at_most(df.where(F.col(value) >= 0.2), F.floor(F.col(value) * 100), LEXICON).select("kind", key, value).collect()
-    }
-    return top(context, "context", "c"), top(final, "instance", "score")
+    return context.where(F.col("c") >= KNOWN).select("kind", "context", "c"), final.where(F.col("score") >= KNOWN).select("kind", "instance", "score")
+
+
+def lexicon(*tables: DataFrame) -> tuple[dict[tuple[str, str], float], ...] | None:
+    """The confidences of each table by its two keys; None if one has over LEXICON of them."""
+    if any(df.count() > LEXICON for df in tables):
+        return None
+    return tuple({(r[0], r[1]): r[2] for r in df.collect()} for df in tables)
 
 
 class Judge:
@@ -414,6 +420,50 @@ class Judge:
         return 1 - (1 - context) * (1 - max(known, default=0.0))
 
 
+def joined(docs: DataFrame, contexts: DataFrame, instances: DataFrame) -> DataFrame:
+    """``row kind start end span`` of ``row text``: what a :class:`Judge` of all contexts and instances accepts, by joins with them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
+            rows = [
+                (row, n, c.group, c.start, c.end, text[c.start : c.end], list(c.instances), list(c.contexts))
+                for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for n, c in enumerate(candidates(text) if text else ())
+            ]
+            cells = list(zip(*rows)) or [[]] * 8
+            words = pa.list_(pa.string())
+            kinds = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), words, words)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)], ["row", "n", "grp", "start", "end", "span", "instances", "contexts"])
+
+    schema = "row long, n int, grp string, start long, end long, span string, instances array<string>, contexts array<string>"
+    found = durable(docs.select("row", "text").mapInArrow(run, schema), "candidates")
+    kinds = F.when(F.col("grp") == "number", F.array(F.lit("phone"), F.lit("id_number"))).otherwise(F.array("grp"))
+    asked = found.where("grp != 'email'").withColumn("kind", F.explode(kinds))
+
+    def known(table: DataFrame, key: str, value: str, values: str) -> DataFrame:
+        name = lambda k: F.concat_ws("\0", "kind", k).alias("key")
+        of = asked.select("row", "n", "kind", F.explode(values).alias("x")).select("row", "n", "kind", name("x"))
+        return salted_join(of, table.select(name(key), value), "key", "row", hot_keys_of(of, "key")).select("row", "n", "kind", value)
+
+    told = known(contexts, "context", "c", "contexts").withColumn("score", F.lit(None).cast("double"))
+    told = told.unionByName(known(instances, "instance", "score", "instances").withColumn("c", F.lit(None).cast("double")))
+    told = told.groupBy("row", "n", "kind").agg(
+        F.coalesce(F.max("c"), F.lit(0.0)).alias("c"), F.coalesce(F.max("score"), F.lit(0.0)).alias("most"), F.min("score").alias("least"), F.count("score").alias("scores")
+    )
+    told = told.join(found.select("row", "n", "start", "end", "span", F.size("instances").alias("tokens")), ["row", "n"])
+    every = F.when((F.col("tokens") > 1) & (F.col("scores") == F.col("tokens")), F.col("least")).otherwise(0.0)
+    name = F.when((F.col("most") > 0) | (F.col("c") >= 0.8), F.greatest("c", every)).otherwise(0.0)
+    told = told.withColumn("sure", F.when(F.col("kind") == "person", name).otherwise(1 - (1 - F.col("c")) * (1 - F.col("most"))))
+    best = told.groupBy("row", "n").agg(F.max(F.struct("sure", (F.col("kind") == "phone").alias("first"), "kind", "start", "end", "span")).alias("b"))
+    accepted = best.where(F.col("b.sure") >= ACCEPT).select("row", "b.kind", "b.start", "b.end", "b.span")
+    return accepted.union(found.where("grp = 'email'").select("row", "grp", "start", "end", "span"))
+
+
+def numbered_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row id text`` with a number that tells repeated rows and null ids apart."""
+    return durable(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), "texts")
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col kind span start``: every piece of personal information as it stands in the text (``start`` in characters).
 
@@ -421,8 +471,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     repeat their result; texts are read whole; an empty table gives an empty
     result; other columns are ignored.
     """
-    contexts_, instances_ = bootstrap(durable(evidence(docs, text_col), "evidence"))
-    shared = docs.sparkSession.sparkContext.broadcast((contexts_, instances_))
+    confident = bootstrap(durable(evidence(docs, text_col), "evidence"))
+    if (held := lexicon(*confident)) is None:
+        texts = numbered_texts(docs, id_col, text_col)
+        return joined(texts, *confident).join(texts.select("row", "id"), "row").select(F.col("id").alias(id_col), "kind", "span", "start")
+    shared = docs.sparkSession.sparkContext.broadcast(held)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("kind", T.StringType()), T.StructField("span", T.StringType()), T.StructField("start", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,21 +496,35 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col redacted``: each text with typed placeholders (``[EMAIL]`` and so on) in place of what :func:`find` finds; null stays null."""
-    contexts_, instances_ = bootstrap(durable(evidence(docs, text_col), "evidence"))
-    shared = docs.sparkSession.sparkContext.broadcast((contexts_, instances_))
+    confident = bootstrap(durable(evidence(docs, text_col), "evidence"))
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("redacted", T.StringType())])
 
+    def replaced(text: str, spans: Iterable[tuple[int, int, str]]) -> str:
+        out, at = [], 0
+        for start, end, kind in sorted(spans):
+            out += [text[at:start], f"[{kind.upper()}]"]
+            at = end
+        return "".join([*out, text[at:]])
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [None if t is None else replaced(t, ((s["start"], s["end"], s["kind"]) for s in spans or ())) for t, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], schema.names)
+
+    if (held := lexicon(*confident)) is None:
+        texts = numbered_texts(docs, id_col, text_col)
+        spans = joined(texts, *confident).groupBy("row").agg(F.collect_list(F.struct("start", "end", "kind")).alias("spans"))
+        return texts.join(spans, "row", "left").select("id", "text", "spans").mapInArrow(settled, schema)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = None
         for batch in batches:
             judge = judge or Judge(*shared.value)
-            made = []
-            for text in batch.column(1).to_pylist():
-                out, at = [], 0
-                for start, end, kind in sorted((c.start, c.end, k) for c in (candidates(text, judge) if text else ()) if (k := judge.kind(c))):
-                    out += [text[at:start], f"[{kind.upper()}]"]
-                    at = end
-                made.append(None if text is None else "".join([*out, text[at:]]))
+            made = [
+                None if text is None else replaced(text, ((c.start, c.end, k) for c in (candidates(text, judge) if text else ()) if (k := judge.kind(c))))
+                for text in batch.column(1).to_pylist()
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_t_")).mapInArrow(run, schema)

@@ -371,3 +371,12 @@ def test_personal_information(spark):
     clean = {r.doc_id: r.redacted for r in pii.redact(df).collect()}
     assert clean[102] == "I live at [ADDRESS]. Lane 34 of the grid holds 12 cells." and clean[104] is None and clean[105] == ""
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_more_contexts_than_the_lexicon_holds(spark, sf_dir, monkeypatch):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    df = docs.union(docs.limit(20)).union(docs.limit(20).select(F.lit(None).cast(docs.schema["doc_id"].dataType), "text")).union(docs.limit(1).select("doc_id", F.lit(None).cast("string"))).localCheckpoint()
+    rows = lambda: [sorted(map(repr, x.collect())) for x in (pii.find(df), pii.redact(df))]
+    held = rows()
+    monkeypatch.setattr(pii, "LEXICON", 1)
+    assert rows() == held and {r.kind for r in pii.find(docs).collect()} == set(pii.KINDS)
