@@ -138,6 +138,11 @@ def test_casing():
     assert list(casing.protected_spans("ApplePie Apple", "Apple")) == [(9, 14)]
 
 
+def test_names_beside_a_dotted_capital_i():
+    assert list(casing.protected_spans("İptal id İd", "ID")) == [(6, 8)] and casing.masked("İ ID", ["ID"]) == f"İ {casing.MASK}"
+    assert list(casing.protected_spans("İ ΟΔΟΣ", "Οδος")) == [(2, 6)]
+
+
 def test_no_unbounded_tables_are_broken(spark):
     empty = spark.createDataFrame([], PAIR)
     assert checks.placeholder_findings(empty).count() == 0 and checks.markup_findings(empty).count() == 0 and checks.divergent_groups(empty).count() == 0
