@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import same_rows
 from lexmill.llm import bpe, components, covering, encoding, language, lookalike, mixing, names, pii, queries, transducer
-from lexmill.session import table
+from lexmill.session import durable, table
 
 
 # --- registered queries ------------------------------------------------------
@@ -151,7 +151,7 @@ def test_near_duplicates_against_brute_force(spark, seed, s):
     vocabulary = [f"w{i}" for i in range(400)]
     rows = []
     for _ in range(60):
-        base = [rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 3, 5, 9, 20, 35, 60, 110, 125, 300]))]
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 3, 5, 9, 20, 35, 50, 60, 110, 150, 300]))]
         for _ in range(4):
             rows.append((f"d{len(rows):04}", " ".join(edited(rng, base, rng.randrange(0, max(2, len(base) // 5)), vocabulary))))
     rows += [("d0001", "another text of the same id"), ("x1", "Another, TEXT of the same id!"), ("x2", ""), ("x3", None), (None, "w1 w2"), ("x4", "... !"), rows[0], rows[0], ("x5", " ".join(vocabulary * 3)), ("x6", " ".join(vocabulary[:370]))]
@@ -164,30 +164,95 @@ def test_near_duplicates_against_brute_force(spark, seed, s):
     assert {frozenset(g) for g in grouped.values()} == brute_groups({i for i, _ in rows if i}, got)
 
 
-def test_hot_buckets_lose_no_pair():
-    """A thousand sets that agree in most words fall into the same buckets; they are split, not dropped."""
-    rng = random.Random(5)
-    common = [f"c{i}" for i in range(24)]
-    sets = [sorted({*common, *(f"x{rng.randrange(60)}" for _ in range(6))}) for _ in range(900)]
-    lo, hi = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+def sketches(sets):
+    wide = np.zeros((covering.WIDTH // 64, len(sets)), np.uint64)
     for i, ws in enumerate(sets):
-        x = 0
         for w in ws:
-            x ^= 1 << (covering.word_hash(w) & 127)
-        lo[i], hi[i] = x & (2**64 - 1), x >> 64
+            bit = covering.word_hash(w) % covering.WIDTH
+            wide[bit >> 6, i] ^= np.uint64(1 << (bit & 63))
+    return wide
+
+
+def test_hot_buckets_lose_no_pair(monkeypatch):
+    """Hundreds of sets that agree in most words fall into the same buckets; they are split, not dropped."""
+    monkeypatch.setattr(covering, "PAIRED", 200)
+    monkeypatch.setattr(covering, "LEVELS", 2)
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(24)]
+    sets = [sorted({*common, *(f"x{rng.randrange(60)}" for _ in range(6))}) for _ in range(600)]
+    wide = sketches(sets)
+    lo, hi = covering.fold_lanes(wide, 2)
     n = np.array([len(s) for s in sets])
-    hot = {(p, t, int(b[0])) for (b, e) in covering.entries(n, lo, hi, 0.8, set()) if len(b) for p, t in [(int(e["parts"][0]), int(e["table"][0]))] if t % 2 == 0}
+    hot = {(p, t, int(b[0])) for (p, t), b, _ in covering.entries(n, wide, 0.8, set()) if len(b) and t % 2 == 0}
     for given_hot in (set(), hot):
-        e = np.concatenate([x for _, x in covering.entries(n, lo, hi, 0.8, given_hot)])
-        found = {tuple(p) for p in covering.local_pairs(e, np.zeros(0, covering.LONG_ENTRY), 0.8).tolist()}
-        for a, b in itertools.combinations(range(0, 900, 3), 2):
+        every = [(b, e) for _, b, e in covering.entries(n, wide, 0.8, given_hot)]
+        task = np.concatenate([b for b, _ in every]) % np.uint64(3)
+        e = np.concatenate([x for _, x in every])
+        found = {tuple(p) for k in range(3) for part in covering.local_pairs(e[task == k], np.zeros(0, covering.LONG_ENTRY), 0.8) for p in part.tolist()}
+        for a, b in itertools.combinations(range(0, 600, 2), 2):
             x, y = set(sets[a]), set(sets[b])
             if len(x & y) >= 0.8 * len(x | y) and (lo[a], hi[a]) != (lo[b], hi[b]):
                 k = sorted([(int(lo[a]), int(hi[a])), (int(lo[b]), int(hi[b]))])
                 assert (*k[0], *k[1]) in found
 
 
-@pytest.mark.parametrize("a,b,s", [(118, 124, 0.8), (120, 121, 0.8), (97, 121, 0.8), (120, 150, 0.8), (100, 180, 0.5)])
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 150), st.floats(0.3, 1), st.randoms(use_true_random=False))
+def test_similar_sets_share_a_bucket(n, s, rng):
+    """Any two sets of similarity s or more have an entry in common, whatever their words and sizes."""
+    limit, by_words = covering.short_limit(s), covering.long_from(s)
+    base = [f"b{i}-{rng.random()}" for i in range(n)]
+    other = list(base)
+    while True:  # edits as long as the sets stay similar
+        more = list(other)
+        if rng.random() < 0.5 and len(more) > 1:
+            del more[rng.randrange(len(more))]
+        else:
+            more.append(f"m{len(more)}-{rng.random()}")
+        if len(set(more) & set(base)) < s * len(set(more) | set(base)) - 1e-9 or rng.random() < 0.02:
+            break
+        other = more
+    counts = np.array([rng.randrange(5) for _ in range(64)] * (covering.COUNTERS // 64))
+    seen = []
+    for ws in (base, other):
+        if len(ws) <= limit:
+            keys = {(p, int(b[0])) for p, b, _ in covering.entries(np.array([len(ws)]), sketches([ws]), s, set()) if len(b)}
+        else:
+            keys = set()
+        seen.append(keys | ({("word", k) for k in covering.long_keys(sorted(ws), 7, counts, s).tolist()} if len(ws) >= by_words else set()))
+    assert seen[0] & seen[1]
+
+
+@pytest.mark.parametrize("words", [80, 150, 300, 1000])
+def test_unrelated_long_texts_give_few_candidates(spark, words):
+    """Candidates grow with the texts, not with their square; near ones among them are all found."""
+    rng = random.Random(words)
+    # common words as in running text, and rare ones
+    draw = lambda: f"w{int(rng.paretovariate(0.6)) % 50_000}"
+    rows, n_pairs = [], []
+    for size in (100, 200):
+        while len(rows) < size:
+            ws = set()
+            while len(ws) < words:
+                ws.add(draw())
+            rows.append((f"d{len(rows)}", " ".join(sorted(ws))))
+        near = [(f"n{i}", " ".join([*rows[i][1].split(" ")[words // 12 :], "extra", "more"])) for i in range(0, size, 40)]
+        df = spark.createDataFrame(rows + near, "id string, text string")
+        sketched = covering.sketch_texts(df)
+        n_pairs.append(covering.near_sketches(sketched, 0.8).count() / size)
+    got = {(r.id_a, r.id_b) for r in covering.similar_pairs(df).collect()}
+    assert {tuple(sorted((f"n{i}", f"d{i}"))) for i in range(0, size, 40)} <= got
+    assert max(n_pairs) < 0.5
+
+
+def test_cells_of_a_common_word_lose_no_pair(monkeypatch):
+    monkeypatch.setattr(covering, "CELL", 10)
+    counts = np.full(covering.COUNTERS, 95)
+    for a, b in itertools.combinations(range(40), 2):
+        assert set(covering.long_keys(["x", "y"], a, counts, 1.0).tolist()) & set(covering.long_keys(["x", "y"], b, counts, 1.0).tolist())
+
+
+@pytest.mark.parametrize("a,b,s", [(118, 124, 0.8), (56, 57, 0.8), (46, 57, 0.8), (56, 70, 0.8), (45, 56, 0.8), (40, 80, 0.5)])
 def test_pairs_across_the_border_of_long_sets(spark, a, b, s):
     rows = [(f"{g}{n}", " ".join(f"{g}x{i}" for i in range(n))) for g in "abcdefgh" for n in (a, b)]
     df = spark.createDataFrame(rows, "id string, text string")
@@ -197,7 +262,7 @@ def test_pairs_across_the_border_of_long_sets(spark, a, b, s):
 
 def same_bit_words(n):
     """``n`` words that hash to one bit of the sketch."""
-    return list(itertools.islice((w for w in (f"t{i}" for i in itertools.count()) if covering.word_hash(w) & 127 == 5), n))
+    return list(itertools.islice((w for w in (f"t{i}" for i in itertools.count()) if covering.word_hash(w) % covering.WIDTH == 5), n))
 
 
 def test_long_sets_of_one_sketch_are_each_hashed(spark):
@@ -375,7 +440,8 @@ def test_personal_information(spark):
 
 def test_more_contexts_than_the_lexicon_holds(spark, sf_dir, monkeypatch):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    df = docs.union(docs.limit(20)).union(docs.limit(20).select(F.lit(None).cast(docs.schema["doc_id"].dataType), "text")).union(docs.limit(1).select("doc_id", F.lit(None).cast("string"))).localCheckpoint()
+    df = docs.union(docs.limit(20)).union(docs.limit(20).select(F.lit(None).cast(docs.schema["doc_id"].dataType), "text")).union(docs.limit(1).select("doc_id", F.lit(None).cast("string")))
+    df = durable(df)
     rows = lambda: [sorted(map(repr, x.collect())) for x in (pii.find(df), pii.redact(df))]
     held = rows()
     monkeypatch.setattr(pii, "LEXICON", 1)
