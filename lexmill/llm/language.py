@@ -4,11 +4,14 @@ Per language a variable-order byte context tree holds how often a byte followed
 a context inside a word. Its statistics are frozen, so the code length of a
 word under each tree (with escape probabilities from longer to shorter
 contexts) is a fixed number, is computed once per distinct word and is added up
-over sentences. The sentences of a text are then cut into the cheapest runs.
+over sentences. The sentences of a text are then cut into the cheapest runs. A
+run that the frequencies of single bytes over all languages describe more
+shortly than any language's contexts is in none of them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -110,15 +113,29 @@ class ContextTree:
         return out
 
 
+#: Name under which the tree of no language is kept, and the scale of confidences beside the trees.
+NONE = ""
+
+
+class Trees(dict):
+    """Language -> tree, with the tree of single bytes under NONE; ``scale``: bits that count as one in a confidence."""
+
+    scale = 1.0
+
+
 class Scorer:
-    """Code lengths of words and sentences under all languages."""
+    """Code lengths of words and sentences under all languages, and under none in the last column."""
 
     def __init__(self, trees: dict[str, ContextTree]):
-        self.languages = sorted(trees)
-        self.trees = [trees[k] for k in self.languages]
+        self.languages = sorted(k for k in trees if k != NONE)
+        self.trees = [trees[k] for k in [*self.languages, *([NONE] if NONE in trees else [])]]
+        self.scale = getattr(trees, "scale", 1.0)
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.trees)))
 
+    def name(self, language: int | None) -> str | None:
+        return None if language is None else self.languages[language]
+
     def batch(self, texts: list[list[list[str]]]) -> tuple[np.ndarray, np.ndarray]:
         """Of texts as lists of sentences as lists of words: bits [sentence, language], and the first sentence of each text."""
         if len(self.rows) > MEMO_WORDS:
@@ -127,12 +144,14 @@ class Scorer:
         for text in texts:
             for words in text:
                 for w in words:
-                    r = rows.get(w)
+                    # a long run of letters is kept by its hash only
+                    name = w if len(w) < 200 else hashlib.blake2b(w.encode("utf-8", "replace")).digest()
+                    r = rows.get(name)
                     if r is None:
-                        r = rows[w] = len(rows)
+                        r = rows[name] = len(rows)
                         if r >= len(self.table):
                             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                        self.table[r] = [t.bits(w[:200]) for t in self.trees]
+                        self.table[r] = [t.bits(w) for t in self.trees]
                     at.append(r)
                 lengths.append(len(words))
             first.append(len(lengths))
@@ -158,45 +177,83 @@ def cut(bits: np.ndarray, switch: float = SWITCH_BITS) -> np.ndarray:
     return path
 
 
-def confidence(bits: np.ndarray, language: int) -> float:
-    """Probability of the language against the others, from code lengths, all being equally likely before."""
-    return float(1 / np.sum(np.exp2(np.clip(bits[language] - bits, -1000, 1000))))
+def confidence(bits: np.ndarray, language: int, scale: float = 1.0) -> float:
+    """Probability of the language against the others, all being equally likely before, from code lengths in units of ``scale`` bits."""
+    return float(1 / np.sum(np.exp2(np.clip((bits[language] - bits) / scale, -1000, 1000))))
+
 
+def segments(bits: np.ndarray, heard: np.ndarray, languages: int | None = None, scale: float = 1.0) -> list[tuple[int | None, float, int, int]]:
+    """(language, confidence, first sentence, end) of a text; ``heard``: which sentences have words.
 
-def segments(bits: np.ndarray, heard: np.ndarray) -> list[tuple[int, float, int, int]]:
-    """(language, confidence, first sentence, end) of a text; ``heard``: which sentences have words."""
+    The columns after the first ``languages`` stand for none: a segment that one of them describes best has no language.
+    """
     if not heard.any():
         return []
+    every, bits = bits, bits[:, :languages]
     best = bits.argmin(1)
+
+    def judged(language: int, start: int, end: int) -> tuple[int | None, float, int, int]:
+        total = every[start:end].sum(0)
+        none = int(total.argmin())
+        known = languages is None or none < languages
+        return (language if known else None, confidence(total, language if known else none, scale), start, end)
+
     if (best[heard] == best[heard][0]).all():
-        return [(int(best[heard][0]), confidence(bits.sum(0), int(best[heard][0])), 0, len(bits))]
+        return [judged(int(best[heard][0]), 0, len(bits))]
     path = cut(bits)
     out, start = [], 0
     for i in range(1, len(path) + 1):
         if i == len(path) or path[i] != path[start]:
-            out.append((int(path[start]), confidence(bits[start:i].sum(0), int(path[start])), start, i))
+            out.append(judged(int(path[start]), start, i))
             start = i
     return out
 
 
-def fit(sample: list[tuple[str, str]], order: int = ORDER) -> dict[str, ContextTree]:
-    """Trees from (language, text). The second round leaves out the sentences that the first one finds in another language."""
+def calibrated(bits: np.ndarray, right: np.ndarray) -> float:
+    """The scale at which the confidences of held-out sentences (bits [sentence, language]) describe their labels best."""
+    if not len(bits):
+        return 1.0
+    gap = bits[np.arange(len(bits)), right][:, None] - bits
+    loss = {scale: float(np.log2(np.exp2(np.clip(gap / scale, -500, 500)).sum(1)).mean()) for scale in (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0, 24.0, 32.0)}
+    return min(loss, key=lambda x: (loss[x], x))
+
+
+def fit(sample: list[tuple[str, str]], order: int = ORDER) -> Trees:
+    """Trees from (language, text).
+
+    Each half of the texts is judged by trees of the other half; the sentences
+    found in another language are left out of the final trees, and the margins
+    of all give the scale of confidences.
+    """
     parsed = [(lang, [sentence_words(s) for s in sentences(text)]) for lang, text in sample]
-    counts: dict[str, Counter[str]] = {}
-    for lang, text in parsed:
+    counts: list[dict[str, Counter[str]]] = [{}, {}]
+    for i, (lang, text) in enumerate(parsed):
         for words in text:
-            counts.setdefault(lang, Counter()).update(words)
-    if not counts:
-        return {}
-    # rare words tell nothing yet, and wrong labels are rare
-    scorer = Scorer({k: ContextTree({w: n for w, n in c.items() if n > 1} or c, order) for k, c in counts.items()})
-    bits, first = scorer.batch([t for _, t in parsed])
-    clean: dict[str, Counter[str]] = {k: Counter() for k in counts}
-    for (lang, text), a in zip(parsed, first.tolist()):
-        for i, words in enumerate(text):
-            if words and scorer.languages[int(bits[a + i].argmin())] == lang:
-                clean[lang].update(words)
-    return {k: ContextTree(c or counts[k], order) for k, c in clean.items()}
+            for half in counts:
+                half.setdefault(lang, Counter())
+            counts[i % 2][lang].update(words)
+    if not counts[0]:
+        return Trees()
+    clean: dict[str, Counter[str]] = {k: Counter() for k in counts[0]}
+    margins, labels = [], []
+    for part in (0, 1):
+        other = counts[1 - part]
+        # rare words tell nothing yet, and wrong labels are rare
+        fitted = {k: ContextTree({w: n for w, n in c.items() if n > 1} or c or counts[part][k], order) for k, c in other.items()}
+        scorer = Scorer(fitted)
+        own = parsed[part::2]
+        bits, first = scorer.batch([t for _, t in own])
+        for (lang, text), a in zip(own, first.tolist()):
+            for i, words in enumerate(text):
+                if words:
+                    margins.append(bits[a + i])
+                    labels.append(scorer.languages.index(lang))
+                    if scorer.languages[int(bits[a + i].argmin())] == lang:
+                        clean[lang].update(words)
+    trees = Trees({k: ContextTree(c or counts[0][k] + counts[1][k], order) for k, c in clean.items()})
+    trees[NONE] = ContextTree(sum(clean.values(), Counter()) or sum(counts[0].values(), sum(counts[1].values(), Counter())), 0)
+    trees.scale = calibrated(np.array(margins), np.array(labels, np.int64))
+    return trees
 
 
 def labelled_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[str, str]]:
@@ -205,10 +262,11 @@ def labelled_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[s
     names = F.create_map(*[F.lit(x) for k, v in sorted(_NAMES.items()) for x in (k, v)])
     lang = F.coalesce(names[spell], names[F.regexp_extract(spell, r"^[^-_\s(/]+", 0)])
     known = docs.where("text is not null").select(lang.alias("lang"), "text", F.xxhash64("text").alias("h")).where("lang is not null")
-    # A fixed share of the hashes first, so that only a few times the sample is sorted.
-    total = known.count()
-    share = max(1, total // (per_language * len(LABELS) * 40))
-    picked = known.where(F.pmod("h", F.lit(share)) == 0)
+    # A share of the hashes of each language first, so that only a few times the sample is sorted; a rare language is taken whole.
+    shares = F.lit(1)
+    for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect():
+        shares = F.when(F.col("lang") == r.lang, max(1, r.n // (per_language * 40))).otherwise(shares)
+    picked = known.where(F.pmod("h", shares.cast("long")) == 0)
     order = Window.partitionBy("lang").orderBy("h", "text")
     rows = picked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("lang", "text").collect()
     return [(r.lang, r.text) for r in rows]
@@ -219,7 +277,9 @@ def detect(docs: DataFrame, trees: dict[str, ContextTree]) -> DataFrame:
 
     A text in one language gives one row with ``seg_no`` 0; a mixed one a row
     per segment, numbered from 1. A text without words, an empty or a null one
-    gives one row with ``seg_no`` 0, ``lang`` null and confidence 0. Repeated
+    gives one row with ``seg_no`` 0, ``lang`` null and confidence 0; one in none
+    of the trees' languages, or a segment like that, has ``lang`` null and the
+    confidence of that. Texts and words of any length are read whole. Repeated
     rows repeat their result; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
@@ -236,13 +296,13 @@ def detect(docs: DataFrame, trees: dict[str, ContextTree]) -> DataFrame:
                 heard = np.array([bool(w) for t in parsed for w in t], bool)
                 at, rows = [], []
                 for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-                    found = segments(bits[a:b], heard[a:b]) if b > a else []
+                    found = segments(bits[a:b], heard[a:b], len(scorer.languages), scorer.scale) if b > a else []
                     if not found:
                         rows.append((0, None, 0.0, 0))
                     elif len(found) == 1:
-                        rows.append((0, scorer.languages[found[0][0]], found[0][1], b - a))
+                        rows.append((0, scorer.name(found[0][0]), found[0][1], b - a))
                     else:
-                        rows += [(j, scorer.languages[x[0]], x[1], x[3] - x[2]) for j, x in enumerate(found, 1)]
+                        rows += [(j, scorer.name(x[0]), x[1], x[3] - x[2]) for j, x in enumerate(found, 1)]
                     at += [i] * max(1, len(found))
                 head = part.take(pa.array(at, pa.int64())).columns[:3]
                 cells = list(zip(*rows)) or [[]] * 4

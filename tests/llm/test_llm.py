@@ -297,8 +297,8 @@ def test_held_out_accuracy(spark, sf_dir):
     right = total = 0
     for lang, text in held:
         words = [language.sentence_words(s) for s in language.sentences(text)]
-        found = language.segments(scorer.batch([words])[0], np.array([bool(w) for w in words]))
-        if len(found) == 1:
+        found = language.segments(scorer.batch([words])[0], np.array([bool(w) for w in words]), len(scorer.languages), scorer.scale)
+        if len(found) == 1 and found[0][0] is not None:
             total += 1
             right += scorer.languages[found[0][0]] == lang
     assert total > 50 and right / total > 0.9  # some labels are wrong on purpose
@@ -318,6 +318,22 @@ def test_segments_and_labels(spark, sf_dir):
     assert language.label_language(" Română ") == "ro" and language.label_language("es-MX") == "es" and language.label_language("und") is None
 
 
+def test_texts_of_no_known_language_and_long_runs(spark, sf_dir):
+    docs = language.labelled_texts(table(spark, sf_dir, "pilot_staged"), table(spark, sf_dir, "adjudication_entries"))
+    trees = language.fit(language.labelled_sample(docs))
+    foreign = ["Każdego dnia zaczynam od krótkiego spaceru przez park, żeby dobrze się czuć.", "Ik zou graag willen weten hoeveel uur wij vandaag nog hebben voor de vergadering.", "今日はとても良い天気ですね。", "Я хочу знать, сколько времени осталось до собрания."]
+    run = "Geduldkostetnichtsundbezahltvieles"
+    rows = [("t", f"f{i}", None, t) for i, t in enumerate(foreign)] + [("t", "run", None, "x" * 250 + run * 400)]
+    got = {r.rec_key: r.lang for r in language.detect(spark.createDataFrame(rows, "tab string, rec_key string, label string, text string"), trees).collect()}
+    assert [got["f0"], got["f2"], got["f3"]] == [None] * 3 and got["run"] == "de"
+
+
+def test_a_rare_language_is_sampled_whole(spark):
+    rows = [("en", f"text number {i}") for i in range(3000)] + [("hu", f"szöveg {i}") for i in range(9)]
+    sample = language.labelled_sample(spark.createDataFrame(rows, "label string, text string"), per_language=10)
+    assert sum(k == "hu" for k, _ in sample) == 9 and sum(k == "en" for k, _ in sample) == 10
+
+
 def test_code_lengths_are_those_of_the_statistics():
     import math
 
@@ -408,6 +424,18 @@ def test_mixture(spark):
     assert mixing.mix(df.limit(0), targets)[0].count() == 0 and mixing.mix(df, targets.limit(0))[0].count() == 0
 
 
+def test_each_source_meets_its_share_to_one_document(spark):
+    """Also one that is so large that its share is far less than a bin of its numbers, and one between two bins."""
+    docs = [(i, "big", f"word{i} " + "and more " * 40) for i in range(9000)] + [(10_000 + i, "small", f"word{i} is it") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    for share, total in ((0.5, None), (0.9, 900), (0.2, 1500)):
+        targets = spark.createDataFrame([("big", share, 2), ("small", 1 - share, 2)], "source string, target_share double, max_repeats int")
+        got = {r.source: r for r in mixing.mix(df, targets, total_tokens=total)[1].collect()}
+        size = got["big"].tokens / got["big"].copies
+        want = total or got["small"].tokens / (1 - share)
+        assert abs(got["big"].tokens - want * share) <= size
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.floats(0.01, 6), st.integers(1, 5))
 def test_poisson_inverse_rises(rate, cap):
