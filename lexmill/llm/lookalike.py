@@ -3,7 +3,9 @@
 A vocabulary of the corpus's ordinary words is kept as a trie per locale. An
 edit automaton walks it for every token that has unusual characters: look-alike
 letters and ignorable characters cost nothing, anything else is refused. Tokens
-without a path are normalised by table.
+without a path are normalised by table. A vocabulary that is too large for every
+task is joined with the unusual tokens by a key that look-alikes share, and each
+value walks a trie of the words it may mean.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.bounded import at_most, log_level
+from lexmill.operators.skew import hot_keys_of, salted_join
+from lexmill.session import durable
 
 # Letters beside a-z (or the base script) that a locale's spelling has.
 EXTRA_LETTERS = {
@@ -53,8 +56,10 @@ _EMOJI = re.compile(rf"{_PICTURE}(?:[︎️]|[\U0001f3fb-\U0001f3ff])*⃣?(?:‍
 _TOKEN = re.compile(r"[^\W\d_]+", re.UNICODE)
 _PLAIN = re.compile(r"[\x00-\x7f]*")
 
-#: Words of the vocabulary, at most, over all locales; the table settles the others.
+#: Words of the vocabulary over all locales that are handed to every task; a larger one is joined with the unusual tokens.
 VOCABULARY = 200_000
+#: How often a word of the home script must occur, and by how much more often than its Latin twin, to stand behind a wholly Latin token.
+HOME_LEAST, HOME_TIMES = 20, 20
 
 
 @functools.lru_cache(maxsize=1 << 16)
@@ -118,13 +123,26 @@ HOME_LETTERS = {"el": "Α-Ωα-ωςΆΈΉΊΌΎΏΪΫάέήίόύώϊϋΐΰ", "h
 MARKS = "“”‘’„‚«»‹›–—…•·€£°׳״"
 
 
+@functools.cache
+def _twins_of(locale: str) -> frozenset[str]:
+    """Plain Latin letters that look like one of a locale's own, other script."""
+    return frozenset(c for c in LATIN_LIKE.get(SCRIPT_OF.get(locale, ""), {}).values() if c.isascii())
+
+
+def disguised(token: str, locale: str) -> bool:
+    """Whether a wholly Latin token of a locale of another script may be a word of that script."""
+    twins = _twins_of(locale)
+    return bool(twins) and all(c in twins for c in token)
+
+
 @functools.cache
 def _untouched(locale: str) -> re.Pattern:
     """Texts in which every word is ordinary and every sign known: they are their own form."""
     signs = rf"\x00-@\[-`{{-\x7f{MARKS}"
     if locale in HOME_LETTERS:
-        own = HOME_LETTERS[locale]
-        return re.compile(rf"(?:[A-Za-z]+(?![{own}])|[{own}]+(?![A-Za-z])|[{signs}]+)*+")
+        own, twins = HOME_LETTERS[locale], "".join(sorted(_twins_of(locale)))
+        latin = rf"(?![{twins}]+(?![A-Za-z]))[A-Za-z]+" if twins else "[A-Za-z]+"
+        return re.compile(rf"(?:{latin}(?![{own}])|[{own}]+(?![A-Za-z])|[{signs}]+)*+")
     return re.compile(rf"[A-Za-z{signs}{''.join(sorted(_alphabet(locale)))}]*+")
 
 
@@ -150,6 +168,31 @@ def _alternatives() -> dict[str, tuple[str, ...]]:
     return out
 
 
+@functools.cache
+def _classes() -> dict[str, str]:
+    """Character -> what stands for all that look like it or like its other case, directly or through others."""
+    parent: dict[str, str] = {}
+
+    def root(c: str) -> str:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    pairs = [(a, b) for a, ways in _alternatives().items() for b in ways]
+    pairs += [(c, low) for x in pairs for c in x for low in [c.lower()] if len(low) == 1]
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    return {c: root(c) for x in pairs for c in x}
+
+
+def skeleton(token: str) -> str:
+    """A key that two tokens share if a trie can lead from the one to the other, or if they differ in case only."""
+    classes = _classes()
+    flat = unicodedata.normalize("NFD", _INVISIBLE.sub("", "".join(map(compat, token))))
+    return "".join(classes.get(x, x) for c in flat for x in c.lower())
+
+
 class Trie:
     """Vocabulary words in decomposed form; a node is a dict, and "" holds (count, spelling)."""
 
@@ -213,8 +256,10 @@ class Canonicalizer:
     """Brings values into their one form, given the vocabulary of each locale."""
 
     def __init__(self, vocabulary: dict[str, dict[str, int]]):
-        self.words = {k: frozenset(w.lower() for w in v) for k, v in vocabulary.items()}
-        self.tries = {k: Trie(v) for k, v in vocabulary.items()}
+        home = {k: {w: n for w, n in v.items() if k not in SCRIPT_OF or script(w[0]) == SCRIPT_OF[k]} for k, v in vocabulary.items()}
+        self.counts = vocabulary
+        self.words = {k: frozenset(w.lower() for w in v) for k, v in home.items()}
+        self.tries = {k: Trie(v) for k, v in home.items()}
         self.foreign: dict[str, set[str]] = {}
         for locale, words in self.words.items():
             if (kind := SCRIPT_OF.get(locale)) is not None:
@@ -249,6 +294,12 @@ class Canonicalizer:
                 return _case_like(found[0][1], token)
         return by_table(token, locale)
 
+    def _home_word(self, token: str, locale: str) -> str:
+        """The word of the home script behind a wholly Latin token beside words of that script, if it is far more frequent."""
+        found = self.tries[locale].spellings(token) if locale in self.tries else []
+        least = max(HOME_LEAST, HOME_TIMES * self.counts.get(locale, {}).get(token, 0))
+        return found[0][1] if found and found[0][0] >= least else token
+
     def value(self, text: str, locale: str) -> str:
         if _untouched(locale).fullmatch(text):
             return text
@@ -260,6 +311,10 @@ class Canonicalizer:
         out, at = [], 0
         for i, m in enumerate(spans):
             near = [s for j in (i - 1, i + 1) if 0 <= j < len(spans) for s in [scripts[j]]]
+            if SCRIPT_OF.get(locale) and disguised(m.group(), locale) and {SCRIPT_OF[locale]} in near:
+                out += [settled[at : m.start()], self._home_word(m.group(), locale)]
+                at = m.end()
+                continue
             beside = len(scripts[i]) == 1 and any(s == scripts[i] and self._sure(spans[j].group()) for j, s in zip([k for k in (i - 1, i + 1) if 0 <= k < len(spans)], near))
             out += [settled[at : m.start()], self.token(m.group(), locale, beside)]
             at = m.end()
@@ -276,8 +331,8 @@ def _case_like(word: str, token: str) -> str:
     return word[:1].upper() + word[1:] if token[:1].isupper() else word
 
 
-def vocabulary(values: DataFrame, value_col: str, locale_col: str, size: int = VOCABULARY) -> DataFrame:
-    """``locale word n``: the ordinary words of all values, the most frequent ``size`` of them; counted per task before the shuffle."""
+def vocabulary(values: DataFrame, value_col: str, locale_col: str) -> DataFrame:
+    """``locale word n``: the ordinary words of all values that occur twice or more; counted per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, str], int] = {}
@@ -292,7 +347,7 @@ def vocabulary(values: DataFrame, value_col: str, locale_col: str, size: int = V
                     continue
                 home = SCRIPT_OF.get(locale, "LATIN")
                 for word in _TOKEN.findall(text):
-                    if ordinary(word, locale) and (home == "LATIN" or script(word[0]) == home):
+                    if ordinary(word, locale) and (home == "LATIN" or script(word[0]) == home or disguised(word, locale)):
                         counts[locale, word] = counts.get((locale, word), 0) + 1
             if len(counts) > 200_000:
                 yield out()
@@ -301,8 +356,36 @@ def vocabulary(values: DataFrame, value_col: str, locale_col: str, size: int = V
             yield out()
 
     parts = values.select(F.col(value_col).cast("string").alias("v"), F.col(locale_col).cast("string").alias("l")).mapInArrow(run, "locale string, word string, n long")
-    counts = parts.groupBy("locale", "word").agg(F.sum("n").alias("n")).where("n > 1")
-    return at_most(counts, log_level("n"), size)
+    return parts.groupBy("locale", "word").agg(F.sum("n").alias("n")).where("n > 1")
+
+
+def unusual_keys(text: str, locale: str) -> set[str]:
+    """Keys under which the words are that a value's tokens may mean: those of its locale, and those of a script."""
+    out = set()
+    if not text.isascii() and not _untouched(locale).fullmatch(text):
+        for token in _TOKEN.findall(strip(text)):
+            if not ordinary(token, locale) or disguised(token, locale):
+                out.add(f"{locale}\0{skeleton(token)}")
+                if (kind := script(token[0])) != "LATIN":
+                    out.add(f"{kind}\0{token.lower()}")
+    return out
+
+
+def _keyed(words: DataFrame) -> DataFrame:
+    """``key words`` of a vocabulary: the words under each key, which are the spellings of one word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for locale, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+                rows.append((f"{locale}\0{skeleton(word)}", locale, word, n))
+                if script(word[0]) == SCRIPT_OF.get(locale):
+                    rows.append((f"{script(word[0])}\0{word.lower()}", locale, word, n))
+            cells = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cells[:3]), pa.array(cells[3], pa.int64())], ["key", "locale", "word", "n"])
+
+    keyed = words.select("locale", "word", "n").mapInArrow(run, "key string, locale string, word string, n long")
+    return keyed.groupBy("key").agg(F.collect_list(F.struct("locale", "word", "n")).alias("words"))
 
 
 def canonicalize(values: DataFrame, value_col: str, locale_col: str, out_col: str = "canonical", size: int = VOCABULARY) -> DataFrame:
@@ -310,15 +393,20 @@ def canonicalize(values: DataFrame, value_col: str, locale_col: str, out_col: st
 
     Null stays null, an empty text stays empty; a null or unknown locale is
     settled by table for Latin script; repeated rows stay repeated; an empty
-    table stays empty. An existing column ``out_col`` is replaced. At most
-    ``size`` vocabulary words come to the driver.
+    table stays empty. An existing column ``out_col`` is replaced. Up to
+    ``size`` words of the vocabulary are handed to every task; more are joined
+    with the values that need them, which gives the same forms.
     """
+    counts = durable(vocabulary(values, value_col, locale_col), "vocabulary")
+    rest = [c for c in values.columns if c != out_col]
+    schema = T.StructType([values.schema[c] for c in rest] + [T.StructField(out_col, T.StringType())])
+    typed = values.select(*rest, F.col(value_col).cast("string").alias("_v_"), F.col(locale_col).cast("string").alias("_l_"))
+    if counts.count() > size:
+        return _by_joins(typed, counts, schema)
     words: dict[str, dict[str, int]] = {}
-    for r in vocabulary(values, value_col, locale_col, size).collect():
+    for r in counts.collect():
         words.setdefault(r.locale, {})[r.word] = r.n
     shared = values.sparkSession.sparkContext.broadcast(words)
-    rest = [c for c in values.columns if c != out_col]
-    schema = T.StructType([values.schema[c] for c in rest] + [T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = None
@@ -328,7 +416,37 @@ def canonicalize(values: DataFrame, value_col: str, locale_col: str, out_col: st
             made = [None if t is None else t if t.isascii() else forms.value(t, l or "") for t, l in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(made, pa.string())], schema.names)
 
-    return values.select(*rest, F.col(value_col).cast("string").alias("_v_"), F.col(locale_col).cast("string").alias("_l_")).mapInArrow(run, schema)
+    return typed.mapInArrow(run, schema)
+
+
+def _by_joins(typed: DataFrame, counts: DataFrame, schema: T.StructType) -> DataFrame:
+    """:func:`canonicalize` of values with ``_v_ _l_``, every unusual one with the words it may mean."""
+    rows = durable(typed.select("*", F.monotonically_increasing_id().alias("_row_")), "values")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = [(row, k) for row, t, l in zip(*(c.to_pylist() for c in batch.columns)) if t for k in unusual_keys(t, l or "")]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in asked], pa.int64()), pa.array([x[1] for x in asked], pa.string())], ["_row_", "key"])
+
+    asked = durable(rows.select("_row_", "_v_", "_l_").mapInArrow(ask, "_row_ long, key string"), "asked")
+    met = salted_join(asked, _keyed(counts), "key", "_row_", hot_keys_of(asked, "key"))
+    held = met.groupBy("_row_").agg(F.flatten(F.collect_list("words")).alias("_words_"))  # the spellings of one value's unusual tokens
+    names = schema.names[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, n = [], len(names)
+            for t, l, words in zip(*(batch.column(n + i).to_pylist() for i in range(3))):
+                if t is None or t.isascii():
+                    made.append(t)
+                    continue
+                of: dict[str, dict[str, int]] = {}
+                for w in words or ():
+                    of.setdefault(w["locale"], {})[w["word"]] = w["n"]
+                made.append(Canonicalizer(of).value(t, l or ""))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(made, pa.string())], schema.names)
+
+    return rows.join(held, "_row_", "left").select(*names, "_v_", "_l_", "_words_").mapInArrow(run, schema)
 
 
 def review_values(packets: DataFrame, reviews: DataFrame, glossary: DataFrame) -> DataFrame:

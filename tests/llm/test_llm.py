@@ -375,6 +375,28 @@ def test_forms_of_odd_rows(spark):
     assert lookalike.canonicalize(df.limit(0), "value", "locale").count() == 0
 
 
+def test_a_vocabulary_of_any_size_gives_the_same_forms(spark, sf_dir):
+    values = lookalike.review_values(*(table(spark, sf_dir, t) for t in ("editor_packets", "fidelity_reviews", "glossary_open")))
+    more = spark.createDataFrame([("t", f"k{i}", locale, text) for i, (locale, text, _) in enumerate(CASES)] + [("t", "n", None, "сору"), ("t", "m", "el", None)], values.schema)
+    forms = lambda size: sorted(map(repr, lookalike.canonicalize(values.union(more), "value", "locale", size=size).collect()))
+    assert forms(1) == forms(1 << 20)
+
+
+def test_wholly_latin_words_of_another_script():
+    forms = lookalike.Canonicalizer({"el": {"Η": 90, "λίστα": 30, "H": 2, "Α": 30, "A": 9}, "bg": {"а": 50, "списък": 9}})
+    assert forms.value("H λίστα", "el") == "Η λίστα" and forms.value("A λίστα", "el") == "A λίστα" and forms.value("H list λίστα", "el") == "H list λίστα"
+    assert forms.value("списък a", "bg") == "списък а" and forms.value("a list", "bg") == "a list"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sampled_from(["țară", "λίστα", "Straße", "Boston", "HOPE", "кора"]), st.randoms(use_true_random=False))
+def test_twins_share_a_key(word, rng):
+    ways = lookalike._alternatives()
+    made = "".join(rng.choice(ways.get(c, (c,))) + rng.choice(["", "\u200b"]) for c in lookalike.unicodedata.normalize("NFD", word))
+    assert lookalike.skeleton(made) == lookalike.skeleton(word) == lookalike.skeleton(word.upper() if "ß" not in word else word)
+    assert word in [w for _, w in lookalike.Trie({word: 2}).spellings(made)]
+
+
 # --- 6: names -----------------------------------------------------------------------------
 
 ROSTER = [("P1", "Ștefan F. Velmoțeanu", "person"), ("P2", "Dorothea Ubelhurst-Dunrasvoy", "person"), ("P3", "Dorothea Ubelneke", "person"), ("P4", "Tavrin Institute for Applied Patience", "organisation"), ("P5", "Josephine Ubelmot", "person"), ("P6", "Jörg Ubelmot", "person"), (None, "Nobody", "person")]
