@@ -1,11 +1,15 @@
 """Variant spellings of names, linked to the entries of a roster.
 
-Distinct names become weighted character n-gram vectors; a sparse join gives
-each its most similar roster spellings by cosine; a check token by token keeps
-those that one typo, initials, nicknames, order, titles or remarks explain. A
-name that several entries explain goes to the entry whose group of variants it
-is most similar to on average (average linkage: the mean of the cosines with
-all members, which is the product with the group's mean vector).
+Distinct names become weighted character n-gram vectors; a sparse top-n join
+gives each its most similar roster spellings by cosine. Around every roster
+spelling a group grows by average linkage (the mean of the cosines with all
+members, which is the product with the group's mean vector), and a name belongs
+to the group it is linked with best, if by the threshold or more. A check token
+by token follows: one typo, initials, short forms, order, titles and remarks
+explain a variant, anything else is another person.
+
+Short forms of given names are learned: a token that stands beside the family
+names of several bearers of one given name, and hardly beside others.
 """
 
 from __future__ import annotations
@@ -14,9 +18,11 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.operators.skew import hot_keys, salted_join
 from lexmill.session import durable
@@ -24,27 +30,19 @@ from lexmill.session import durable
 GRAM = 3
 #: Roster spellings looked at for a name: the most similar ones at or above the threshold.
 TOP_N = 25
-THRESHOLD = 0.25
+THRESHOLD = 0.3
+#: Average linkage with a group of a roster spelling from which a name belongs to it.
+LINKAGE = 0.3
+#: Bearers of a given name beside whose family names its short form must stand, or one if it begins alike; and its share there.
+BEARERS, SHARE = 2, 0.5
 
-#: Grams of a roster that are broadcast; a larger one is joined by shuffling.
+#: Grams of a roster that every task holds; a larger one is joined by shuffling.
 BROADCAST_ROWS = 200_000
 
 # Words that go with a name but are not part of it.
 TITLES = frozenset("dr prof professor phd md mr mrs ms miss sir dame lord lady st saint rev fr sr jr dipl ing mag doc esq the attributed to by from after via said quoted per as told in words of".split())
 # Words of an organisation's name that may be left out.
 FILLERS = frozenset("the for of and on de la le du des der die das und et y e 4 a an in".split())
-# Common short forms of given names (folded).
-NICKNAMES = {
-    "alex": "alexander alexandra", "al": "alexander albert alfred", "sandy": "alexander alexandra", "sandor": "alexander", "sasha": "alexander alexandra", "alec": "alexander", "xander": "alexander",
-    "toni": "antonia anthony", "tony": "anthony antonia", "tonia": "antonia", "ben": "benjamin", "benny": "benjamin", "benji": "benjamin", "dora": "dorothea theodora", "thea": "dorothea theodora", "dolly": "dorothea", "dot": "dorothea", "dottie": "dorothea", "doro": "dorothea",
-    "liz": "elizabeth", "lizzie": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "eliza": "elizabeth", "elsie": "elizabeth", "bess": "elizabeth", "lisa": "elizabeth", "libby": "elizabeth", "betsy": "elizabeth", "fred": "frederick", "freddy": "frederick", "freddie": "frederick", "fritz": "frederick friedrich", "rick": "frederick richard",
-    "gabi": "gabriela", "gaby": "gabriela", "gabby": "gabriela", "gyongyike": "gyongyi", "gyongy": "gyongyi", "lena": "helene helena", "leni": "helene", "nell": "helene eleanor", "nelly": "helene", "hetty": "henrietta", "harriet": "henrietta", "etta": "henrietta", "hattie": "henrietta", "henny": "henrietta", "jetta": "henrietta",
-    "iggy": "ignatius", "nacho": "ignatius", "natz": "ignatius", "bella": "isabella", "izzy": "isabella", "belle": "isabella", "isa": "isabella", "ibby": "isabella", "inaki": "inigo", "jorgi": "jorg", "joschi": "jorg", "schorsch": "jorg", "josie": "josephine", "jo": "josephine", "josy": "josephine", "fifi": "josephine", "pepita": "josephine",
-    "kate": "katherine", "kathy": "katherine", "katie": "katherine", "kitty": "katherine", "kat": "katherine", "kay": "katherine", "kath": "katherine", "leo": "leonard", "len": "leonard", "lenny": "leonard", "lucie": "lucja", "luca": "lucja", "lusia": "lucja", "maggie": "margaret", "meg": "margaret", "peggy": "margaret", "greta": "margaret", "madge": "margaret", "daisy": "margaret", "marge": "margaret", "gretel": "margaret", "rita": "margaret", "peg": "margaret",
-    "matt": "matthias matthew", "matty": "matthias", "hias": "matthias", "mattie": "matthias", "matz": "matthias", "nate": "nathaniel nathan", "nat": "nathaniel", "nathan": "nathaniel", "orsi": "orsolya", "orsika": "orsolya", "pippa": "philippa", "pip": "philippa", "phil": "philippa philip", "quinn": "quentin", "quint": "quentin", "becky": "rebecca", "becca": "rebecca", "reba": "rebecca", "bob": "robert", "rob": "robert", "bobby": "robert", "bert": "robert albert", "robbie": "robert", "razvi": "razvan", "razva": "razvan",
-    "sam": "samuel samantha", "sammy": "samuel", "fane": "stefan", "fanel": "stefan", "steve": "stefan stephen", "stefi": "stefan", "stefanel": "stefan", "ted": "theodore edward", "theo": "theodore", "teddy": "theodore", "unalcik": "unal", "uschi": "ursula", "ulla": "ursula", "ursel": "ursula", "ursi": "ursula", "vicky": "victoria", "tori": "victoria", "vic": "victoria", "vicki": "victoria", "viki": "victoria", "bill": "william", "will": "william", "billy": "william", "willy": "william", "willie": "william", "liam": "william", "yanni": "yannis", "gianni": "yannis", "giannis": "yannis", "yianni": "yannis", "zach": "zacharias", "zack": "zacharias", "zac": "zacharias", "cagli": "cagla",
-}
-SHORT = {k: frozenset(v.split()) for k, v in NICKNAMES.items()}
 # Letters that do not decompose into a plain one.
 PLAIN = str.maketrans({"ł": "l", "Ł": "L", "ı": "i", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ß": "ss", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE", "þ": "th", "ð": "d"})
 
@@ -84,12 +82,12 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
 
 
-def explains(name: str, entry: str, kind: str) -> float | None:
-    """How well the roster ``entry`` explains ``name``: 0 is best, None is not at all."""
-    return _organisation(name, entry) if kind == "organisation" else _person(bare(name), bare(entry), name)
+def explains(name: str, entry: str, kind: str, short: frozenset[str] = frozenset()) -> float | None:
+    """How well the roster ``entry`` explains ``name``: 0 is best, None is not at all. ``short``: short forms of its given name."""
+    return _organisation(name, entry) if kind == "organisation" else _person(bare(name), bare(entry), short)
 
 
-def _person(have: list[str], want: list[str], raw: str) -> float | None:
+def _person(have: list[str], want: list[str], short: frozenset[str]) -> float | None:
     if len(want) < 2 or not have:
         return None
     given, middle = want[0], [t for t in want[1:] if len(t) == 1]
@@ -117,7 +115,7 @@ def _person(have: list[str], want: list[str], raw: str) -> float | None:
     for i, t in enumerate(left):
         if t == given:
             c, used = 0.0, ""
-        elif given in SHORT.get(t, ()):
+        elif t in short:
             c, used = 0.2, ""
         elif len(t) == 1 and t == given[0]:
             c, used = 0.4, ""
@@ -204,59 +202,170 @@ def _grams(forms: DataFrame) -> DataFrame:
     return forms.select("key", "form", F.explode(grams).alias("gram")).groupBy("key", "form", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def _weighted(grams: DataFrame, idf: DataFrame) -> DataFrame:
-    """Unit vectors ``key form gram w``."""
+def _vectors(grams: DataFrame, idf: DataFrame) -> DataFrame:
+    """``key form vec``: unit vectors as arrays of (gram, w, idf), rare grams first."""
     w = grams.join(idf, "gram").withColumn("w", F.sqrt("tf") * F.col("idf"))
-    norm = w.groupBy("key", "form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, ["key", "form"]).select("key", "form", "gram", (F.col("w") / F.col("norm")).alias("w"))
+    of = w.groupBy("key", "form").agg(F.sort_array(F.collect_list(F.struct("idf", "gram", "w")), asc=False).alias("g"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return of.select("key", "form", F.transform("g", lambda x: F.struct(x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))).alias("vec"))
 
 
-def link_names(names: DataFrame, roster: DataFrame, top_n: int = TOP_N, threshold: float = THRESHOLD) -> DataFrame:
+def _prefixed(vectors: DataFrame, keys: list[str], vec: str, least: float, mark: str) -> DataFrame:
+    """``keys gram w<mark> rest<mark>``: the first grams of each vector (of at most unit length), the rest of which, ``rest`` long, is too short for a product of ``least`` with any other.
+
+    Two vectors in the same order with such a product have a gram of both prefixes in common.
+    """
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"), F.lit(0.0).alias("rest"))
+
+    def step(x: Column, g: Column) -> Column:
+        total = x["sum"] + g["w"] * g["w"]
+        out = total < (least - 1e-9) ** 2
+        return F.struct(total.alias("sum"), F.when(out, x["n"] + 1).otherwise(x["n"]).alias("n"), F.when(out, F.sqrt(total)).otherwise(x["rest"]).alias("rest"))
+
+    cut = vectors.select(*keys, vec, F.aggregate(F.reverse(vec), start, step).alias("cut"))
+    kept = F.slice(vec, F.lit(1), F.size(vec) - F.col("cut.n"))
+    return cut.select(*keys, F.explode(kept).alias("g"), F.col("cut.rest").alias("rest")).select(*keys, "g.gram", F.col("g.w").alias("w" + mark), F.col("rest").alias("rest" + mark))
+
+
+def _met(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """``name person_id stated cosine`` of products of ``least`` or more, by joins.
+
+    Prefixes whose rest is below half of ``least`` are joined: what they share,
+    with the longer rest added, must reach ``least``, else the whole vectors
+    are never multiplied. Common grams are in no prefix.
+    """
+    keys = ["name", "person_id", "stated"]
+    joined = _prefixed(left, ["name"], "v", least / 2, "1").join(_prefixed(right, ["person_id", "stated"], "u", least / 2, "2"), "gram")
+    shared = joined.groupBy(*keys).agg((F.sum(F.col("w1") * F.col("w2")) + F.greatest(F.first("rest1"), F.first("rest2"))).alias("most"))
+    asked = shared.where(F.col("most") >= least - 1e-9).select(*keys)
+    scored = asked.join(left, "name").join(right, ["person_id", "stated"]).withColumn("cosine", _product("v", "u"))
+    return scored.where(F.col("cosine") >= least).select(*keys, "cosine")
+
+
+def _met_small(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """:func:`_met` with a roster that every task holds whole: one pass over the names, the grams' postings added up."""
+    rows = right.collect()
+    postings: dict[str, tuple[list[int], list[float]]] = {}
+    for i, r in enumerate(rows):
+        for g in r.u:
+            at, w = postings.setdefault(g.gram, ([], []))
+            at.append(i)
+            w.append(g.w)
+    held = {g: (np.array(at), np.array(w)) for g, (at, w) in postings.items()}
+    shared = left.sparkSession.sparkContext.broadcast((held, [r.person_id for r in rows], [r.stated for r in rows]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, people, stated = shared.value
+        for batch in batches:
+            out: list[tuple[str, int, float]] = []
+            for name, vec in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total = np.zeros(len(people))
+                for g in vec:
+                    if (hit := index.get(g["gram"])) is not None:
+                        total[hit[0]] += g["w"] * hit[1]
+                out += [(name, i, float(total[i])) for i in np.flatnonzero(total >= least).tolist()]
+            cells = list(zip(*out)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(cells[0], pa.string()), pa.array([people[i] for i in cells[1]], pa.string()), pa.array([stated[i] for i in cells[1]], pa.string()), pa.array(cells[2], pa.float64())], ["name", "person_id", "stated", "cosine"])
+
+    return left.mapInArrow(run, "name string, person_id string, stated string, cosine double")
+
+
+def _product(a: str, b: str) -> Column:
+    """The product of two vectors."""
+    held = F.map_from_entries(F.col(b))
+    return F.aggregate(a, F.lit(0.0), lambda x, g: x + g["w"] * F.coalesce(F.try_element_at(held, g["gram"]), F.lit(0.0)))
+
+
+def short_forms(names: DataFrame, entries: DataFrame) -> DataFrame:
+    """``given short``: short forms of given names, from names whose family name is a roster person's.
+
+    ``names``: ``name tokens``; ``entries``: ``person_id kind tokens``. A token
+    is a short form of the given name beside the family names of whose bearers
+    it stands, at least BEARERS of them (or one, if it begins with the same two
+    letters) and at least a SHARE of all families it stands beside; a token
+    that is itself a given name of the roster is none.
+    """
+    people = entries.where("kind != 'organisation' and size(tokens) > 1")
+    given = F.get("tokens", F.lit(0))
+    families = F.filter(F.slice("tokens", 2, 99), lambda t: F.length(t) > 1)
+    people = people.select("person_id", given.alias("given"), F.array_distinct(families).alias("family")).where("size(family) > 0")
+    beside = names.select("name", "tokens", F.explode(F.array_distinct("tokens")).alias("part"))
+    met = beside.join(people.select("*", F.explode("family").alias("part")), "part")
+    left = F.filter(F.array_except("tokens", "family"), lambda t: F.length(t) > 1)
+    alone = met.withColumn("left", left).where((F.size("left") == 1) & (F.size(F.array_except("family", "tokens")) <= F.size("family") - 1))
+    seen = alone.select(F.get("left", F.lit(0)).alias("short"), "given", F.array_join("family", " ").alias("family")).distinct()
+    seen = seen.join(people.select(F.col("given").alias("short")).distinct(), "short", "left_anti")
+    every = seen.groupBy("short").agg(F.countDistinct("family").alias("families"))
+    counted = seen.groupBy("short", "given").agg(F.countDistinct("family").alias("n")).join(every, "short")
+    alike = F.substring("short", 1, 2) == F.substring("given", 1, 2)
+    return counted.where(((F.col("n") >= BEARERS) | alike) & (F.col("n") >= F.col("families") * SHARE)).select("given", "short")
+
+
+def _tokens(df: DataFrame) -> DataFrame:
+    """``df`` with ``tokens``: the bare tokens of its ``name``."""
+    schema = T.StructType([*df.schema.fields, T.StructField("tokens", T.ArrayType(T.StringType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([bare(n) for n in batch.column("name").to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def link_names(names: DataFrame, roster: DataFrame, top_n: int = TOP_N, threshold: float = THRESHOLD, linkage: float = LINKAGE, nicknames: DataFrame | None = None) -> DataFrame:
     """``name person_id cosine linkage``: of each distinct name the roster entry it means, where there is one.
 
-    ``names`` has ``name``; ``roster`` has ``person_id display_name kind``.
+    ``names`` has ``name``; ``roster`` has ``person_id display_name kind``;
+    ``nicknames`` (``given short``, folded) adds short forms to those learned.
     Null and blank names mean nobody. Names that several entries explain
     equally well, also by their groups' average linkage, mean nobody. Repeated
     names count once; empty tables give an empty result; other columns are ignored.
     """
-    distinct = names.select("name").where("name is not null and trim(name) != ''").distinct()
-    entries = roster.where("person_id is not null and display_name is not null").select(F.col("person_id").alias("key"), F.col("display_name").alias("name"), "kind").dropDuplicates(["key"])
+    distinct = durable(_tokens(names.select("name").where("name is not null and trim(name) != ''").distinct()), "names")
+    entries = roster.where("person_id is not null and display_name is not null").select(F.col("person_id").alias("key"), F.col("display_name").alias("name"), F.coalesce("kind", F.lit("person")).alias("kind")).dropDuplicates(["key"])
     asked = _forms(distinct.select(F.col("name").alias("key"), "name", F.lit("").alias("kind")), False)
     stated = _forms(entries, True)
-    asked_grams, stated_grams = durable(_grams(asked), "grams"), _grams(stated)
+    asked_grams, stated_grams = durable(_grams(asked), "grams"), durable(_grams(stated), "grams")
     # Statistics of grams over all names; the collection is that of distinct forms.
     total = asked.select("key").distinct().union(stated.select("key").distinct()).agg(F.count(F.lit(1)).alias("all"))
     df = asked_grams.select("gram", "key").union(stated_grams.select("gram", "key")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.crossJoin(F.broadcast(total)).select("gram", F.log(1 + F.col("all") / F.col("df")).alias("idf"))
-    a, b = durable(_weighted(asked_grams, idf), "asked"), durable(_weighted(stated_grams, idf), "stated")
-    right = b.select(F.col("key").alias("person_id"), F.col("form").alias("stated"), "gram", F.col("w").alias("v"))
-    # All grams of a name in one task: the sums then need no further shuffle. The roster is broadcast only while it is small.
-    if right.count() <= BROADCAST_ROWS:
-        right = F.broadcast(right)
-    sums = a.repartition("key").join(right, "gram").groupBy(F.col("key").alias("name"), "person_id", "stated").agg(F.sum(F.col("w") * F.col("v")).alias("cosine"))
-    pairs = sums.where(F.col("cosine") >= threshold).groupBy("name", "person_id").agg(F.max("cosine").alias("cosine"))
+    idf = df.crossJoin(F.broadcast(total)).select("gram", F.log(1 + F.col("all") / F.col("df")).alias("idf"))  # one row
+    a, b = durable(_vectors(asked_grams, idf), "asked"), durable(_vectors(stated_grams, idf), "stated")
+    left = a.select(F.col("key").alias("name"), F.col("vec").alias("v"))
+    right = b.select(F.col("key").alias("person_id"), F.col("form").alias("stated"), F.col("vec").alias("u"))
+    small = b.agg(F.coalesce(F.sum(F.size("vec")), F.lit(0)).alias("n")).first().n <= BROADCAST_ROWS
+    scored = (_met_small if small else _met)(left, right, threshold)
+    pairs = scored.groupBy("name", "person_id").agg(F.max_by("stated", F.struct("cosine", "stated")).alias("stated"), F.max("cosine").alias("cosine"))
     best = _top(pairs, top_n)
-    candidates = best.join(entries.select(F.col("key").alias("person_id"), F.col("name").alias("display_name"), "kind"), "person_id")
+
+    people = durable(_tokens(entries), "entries")
+    shorts = short_forms(distinct, people.withColumnRenamed("key", "person_id"))
+    if nicknames is not None:
+        shorts = shorts.unionByName(nicknames.select("given", "short")).distinct()
+    said = distinct.select("name", F.explode(F.array_distinct("tokens")).alias("short")).join(shorts, "short").groupBy("name", "given").agg(F.collect_set("short").alias("shorts"))
+    candidates = best.join(people.select(F.col("key").alias("person_id"), F.col("name").alias("display_name"), "kind", F.get("tokens", F.lit(0)).alias("given")), "person_id")
+    candidates = candidates.join(said, ["name", "given"], "left").select("name", "person_id", "stated", "cosine", "display_name", "kind", F.coalesce("shorts", F.array().cast("array<string>")).alias("shorts"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            costs = [explains(r["name"], r["display_name"], r["kind"]) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(costs, pa.float64())], [*batch.schema.names, "cost"])
-
-    judged = candidates.select("name", "person_id", "display_name", "kind", "cosine").mapInArrow(judge, "name string, person_id string, display_name string, kind string, cosine double, cost double")
-    judged = durable(judged.where("cost is not null").select("name", "person_id", "cosine", "cost"), "judged")
-    least = judged.groupBy("name").agg(F.min("cost").alias("least"))
-    tied = judged.join(least, "name").where(F.col("cost") <= F.col("least") + 1e-9)
-    counted = durable(tied.join(tied.groupBy("name").agg(F.count(F.lit(1)).alias("n")), "name"), "tied")
-    sure = counted.where("n = 1").select("name", "person_id", "cosine")
-    # Mean vectors of the groups: their size is bounded by the roster's and the alphabet's, not by the names'.
-    members = sure.join(a.select(F.col("key").alias("name"), "gram", "w"), "name")
-    sizes = sure.groupBy("person_id").agg(F.count(F.lit(1)).alias("size"))
-    means = members.groupBy("person_id", "gram").agg(F.sum("w").alias("m")).join(sizes, "person_id").select("person_id", "gram", (F.col("m") / F.col("size")).alias("m"))
-    every = counted.select("name", "person_id", "cosine", "n").join(a.select(F.col("key").alias("name"), "gram", "w"), "name")
-    linkage = every.join(means, ["person_id", "gram"], "left").groupBy("name", "person_id").agg(F.first("cosine").alias("cosine"), F.first("n").alias("n"), F.sum(F.coalesce(F.col("w") * F.col("m"), F.lit(0.0))).alias("linkage"))
-    top = linkage.groupBy("name").agg(F.max_by(F.struct("person_id", "cosine", "n", "linkage"), "linkage").alias("t"), F.max("linkage").alias("hi"), F.min("linkage").alias("lo"))
-    return top.where("t.n = 1 or hi > lo + 0.02").select("name", "t.person_id", "t.cosine", "t.linkage")
+            costs = [explains(r["name"], r["display_name"], r["kind"], frozenset(r["shorts"])) for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(costs, pa.float64())], ["name", "person_id", "stated", "cosine", "cost"])
+
+    judged = candidates.mapInArrow(judge, "name string, person_id string, stated string, cosine double, cost double")
+    judged = durable(judged.where("cost is not null"), "judged")
+    # The groups: each spelling of the roster with the names that are nearest to it among those that explain them best.
+    order = Window.partitionBy("name").orderBy("cost", F.desc("cosine"), "person_id")
+    nearest = judged.withColumn("k", F.row_number().over(order)).where("k = 1").select("name", "person_id", "stated")
+    members = nearest.join(left, "name").select("person_id", "stated", F.col("v").alias("u")).union(right.select("person_id", "stated", "u"))
+    sizes = members.groupBy("person_id", "stated").agg(F.count(F.lit(1)).alias("size"))
+    means = members.select("person_id", "stated", F.explode("u").alias("g")).groupBy("person_id", "stated", "g.gram").agg(F.sum("g.w").alias("w"))
+    means = means.groupBy("person_id", "stated").agg(F.collect_list(F.struct("gram", "w")).alias("u")).join(sizes, ["person_id", "stated"])
+    linked = judged.join(left, "name").join(means, ["person_id", "stated"]).withColumn("linkage", _product("v", "u") / F.col("size"))
+    linked = linked.where(F.col("linkage") >= linkage).select("name", "person_id", "cosine", "cost", "linkage")
+    least = linked.groupBy("name").agg(F.min("cost").alias("least"))
+    tied = linked.join(least, "name").where(F.col("cost") <= F.col("least") + 1e-9)
+    top = tied.groupBy("name").agg(F.max_by(F.struct("person_id", "cosine", "linkage"), F.struct("linkage", "person_id")).alias("t"), F.max("linkage").alias("hi"), F.min("linkage").alias("lo"), F.count(F.lit(1)).alias("n"))
+    return top.where("n = 1 or hi > lo + 0.02").select("name", "t.person_id", "t.cosine", "t.linkage")
 
 
 def _top(pairs: DataFrame, n: int) -> DataFrame:
