@@ -33,8 +33,8 @@ TOP_N = 25
 THRESHOLD = 0.3
 #: Average linkage with a group of a roster spelling from which a name belongs to it.
 LINKAGE = 0.3
-#: Bearers of a given name beside whose family names its short form must stand, or one if it begins alike; and its share there.
-BEARERS, SHARE = 2, 0.5
+#: Bearers of a given name beside whose family names its short form must stand, or one if it begins alike; its share there, and how far that must be above the given name's own share of the families.
+BEARERS, SHARE, LIFT = 2, 0.5, 2.0
 
 #: Grams of a roster that every task holds; a larger one is joined by shuffling.
 BROADCAST_ROWS = 200_000
@@ -281,8 +281,9 @@ def short_forms(names: DataFrame, entries: DataFrame) -> DataFrame:
     ``names``: ``name tokens``; ``entries``: ``person_id kind tokens``. A token
     is a short form of the given name beside the family names of whose bearers
     it stands, at least BEARERS of them (or one, if it begins with the same two
-    letters) and at least a SHARE of all families it stands beside; a token
-    that is itself a given name of the roster is none.
+    letters) and at least a SHARE of all families it stands beside, LIFT times
+    that of the given name in the roster's families; a token that is itself a
+    given name of the roster is none.
     """
     people = entries.where("kind != 'organisation' and size(tokens) > 1")
     given = F.get("tokens", F.lit(0))
@@ -296,6 +297,9 @@ def short_forms(names: DataFrame, entries: DataFrame) -> DataFrame:
     seen = seen.join(people.select(F.col("given").alias("short")).distinct(), "short", "left_anti")
     every = seen.groupBy("short").agg(F.countDistinct("family").alias("families"))
     counted = seen.groupBy("short", "given").agg(F.countDistinct("family").alias("n")).join(every, "short")
+    named = people.select("given", F.array_join("family", " ").alias("family")).distinct()
+    own = named.groupBy("given").agg(F.count(F.lit(1)).alias("own")).crossJoin(F.broadcast(named.agg(F.countDistinct("family").alias("all"))))  # one row
+    counted = counted.join(own, "given").where(F.col("n") * F.col("all") >= F.col("families") * F.col("own") * LIFT)
     alike = F.substring("short", 1, 2) == F.substring("given", 1, 2)
     return counted.where(((F.col("n") >= BEARERS) | alike) & (F.col("n") >= F.col("families") * SHARE)).select("given", "short")
 

@@ -418,8 +418,8 @@ def test_names(spark):
 def test_short_forms_are_learned(spark):
     """From names that stand on no list: a token beside the family names of several bearers of a given name, not one beside any."""
     families = ["Abrelund", "Benquist", "Cordovan", "Dellamar", "Estevund", "Farquell"]
-    roster = [(f"W{i}", f"Wendeline {f}", "person") for i, f in enumerate(families)] + [(f"B{i}", f"Barnaby {f}", "person") for i, f in enumerate(families[:2])]
-    rows = [f"Lyn {f}" for f in families[:4]] + [f"Oscar {f}" for f in families] + ["Wendi Farquell", "Barnaby Cordovan", "Wendeline Abrelund"]
+    roster = [(f"W{i}", f"Wendeline {f}", "person") for i, f in enumerate(families)] + [(f"X{i}", f"{g} {f}x{g.lower()}", "person") for i, (g, f) in enumerate(itertools.product(("Barnaby", "Quintus", "Sibylla"), families))]
+    rows = [f"Lyn {f}" for f in families[:4]] + [f"Oscar {r[1].split(' ')[1]}" for r in roster] + ["Wendi Farquell", "Barnaby Cordovan", "Wendeline Abrelund"]
     df, known = spark.createDataFrame([(r,) for r in rows], "name string"), spark.createDataFrame(roster, "person_id string, display_name string, kind string")
     got = {r.name: r.person_id for r in names.link_names(df, known).collect()}
     assert got == {"Lyn Abrelund": "W0", "Lyn Benquist": "W1", "Lyn Cordovan": "W2", "Lyn Dellamar": "W3", "Wendi Farquell": "W5", "Wendeline Abrelund": "W0"}
@@ -432,7 +432,7 @@ def test_a_roster_of_any_size_gives_the_same_links(spark, sf_dir, monkeypatch):
     links = lambda: sorted((r.name, r.person_id, round(r.cosine, 9)) for r in names.link_names(records, table(spark, sf_dir, "person_roster")).collect())
     held = links()
     monkeypatch.setattr(names, "BROADCAST_ROWS", 10)
-    assert links() == held and len(held) > 100
+    assert links() == held and len(held) > 50
 
 
 def test_one_edit():
