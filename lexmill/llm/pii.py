@@ -36,6 +36,8 @@ LEXICON = 100_000
 KNOWN = 0.2
 #: Times a context must occur to be trusted.
 SUPPORT = 3
+#: Occurrences that the form of a number or an address counts as; with more of them the graph decides.
+PRIOR = 5.0
 
 # Words that introduce a number of a kind (parts of words, lower case).
 CUES = {
@@ -55,7 +57,7 @@ _STREET = re.compile(
 
 _AT = r"(?: ?@ ?| ?[\[(] ?at ?[\])] ?|(?<=\w) at (?=[\w-]+(?: dot | ?[\[(] ?dot)))"
 _DOT = r"(?:\.| ?[\[(] ?dot ?[\])] ?| dot )"
-EMAIL = re.compile(rf"(?i)(?<![\w.+%-])[a-z0-9][\w.+%-]*{_AT}[a-z][a-z0-9-]*(?:{_DOT}[a-z0-9-]+)*{_DOT}[a-z]{{2,}}(?![\w])")
+EMAIL = re.compile(rf"(?i)(?<![\w.+%-])[a-z0-9][\w.+%-]*{_AT}[a-z0-9][a-z0-9-]*(?:{_DOT}[a-z0-9-]+)*{_DOT}[a-z]{{2,}}(?![\w])")
 _FILES = re.compile(r"(?i)\.(?:png|jpe?g|gif|svg|webp|pdf|json|xml)$")
 
 _SEP = r"(?: ?[-./–] ?| ?\(\d{1,4}\) ?| )"
@@ -169,41 +171,49 @@ def number_spans(text: str) -> Iterator[tuple[int, int]]:
 
 
 def email_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses around each sign for at, of any length: the local part is walked back to its start."""
     last = 0
     # the written-out forms are rare, and a single sign is found much faster
-    written = "at]" in text or "at)" in text or " dot " in text or "AT]" in text or "AT)" in text
-    for m in (_AT_SIGN if written else _AT_ONLY).finditer(text):
-        if m.start() < last:
+    for m in (_AT_SIGN if _WRITTEN.search(text) else _AT_ONLY).finditer(text):
+        at = m.start()
+        if at < last:
             continue
-        for e in EMAIL.finditer(text, max(last, m.start() - 80), min(len(text), m.end() + 260)):
-            if e.start() <= m.start() < e.end():
-                if not _FILES.search(e.group()):
-                    last = e.end()
-                    yield e.span()
-                break
+        start = at - 1 if at and text[at - 1] == " " else at
+        while start > last and (text[start - 1].isalnum() or text[start - 1] in "_.+%-"):
+            start -= 1
+        while start < at and not (text[start].isascii() and text[start].isalnum()):
+            start += 1
+        e = EMAIL.match(text, start)
+        if e is not None and at < e.end() and not _FILES.search(e.group()):
+            last = e.end()
+            yield e.span()
 
 
-_AT_ONLY = re.compile(r"@(?!\d)")
-_AT_SIGN = re.compile(r"@(?!\d)|[\[(] ?[aA][tT] ?[\])]| at (?=[\w-]+(?: dot | ?[\[(] ?dot))", re.ASCII)
+_AT_ONLY = re.compile(r"@")
+_WRITTEN = re.compile(r"(?i)at ?[\])]| dot |[\[(] ?dot")
+_AT_SIGN = re.compile(r"(?i)@|[\[(] ?at ?[\])]| at (?=[\w-]+(?: dot | ?[\[(] ?dot))", re.ASCII)
 
 
 def address_spans(text: str) -> Iterator[tuple[int, int]]:
-    """Runs of address parts around a word for a street, within one line, with a number in them."""
-    last = -1
+    """Runs of address parts around a word for a street, within one line, with a number in them; each line is read once."""
+    last, end_of_line = -1, -1
+    runs: Iterator[re.Match] = iter(())
+    run: re.Match | None = None
     for hit in street_hits(text):
         if hit.start() < last:
             continue
-        a = max(text.rfind("\n", 0, hit.start()), text.rfind("\r", 0, hit.start())) + 1
-        a = max(a, hit.start() - 80)
-        b = min(x for x in (text.find("\n", hit.end()), text.find("\r", hit.end()), len(text)) if x >= 0)
-        b = min(b, hit.end() + 120)
-        for run in _ADDRESS.finditer(text, a, b):
-            if run.start() <= hit.start() < run.end():
-                start, end = _trim(text, run.start(), run.end(), hit.start())
-                if start <= hit.start() < end and any(c.isdigit() for c in text[start:end]):
-                    last = end
-                    yield start, end
-                break
+        if hit.start() > end_of_line:
+            a = max(text.rfind("\n", 0, hit.start()), text.rfind("\r", 0, hit.start())) + 1
+            end_of_line = min(x for x in (text.find("\n", hit.end()), text.find("\r", hit.end()), len(text)) if x >= 0)
+            runs = _ADDRESS.finditer(text, a, end_of_line)
+            run = next(runs, None)
+        while run is not None and run.end() <= hit.start():
+            run = next(runs, None)
+        if run is not None and run.start() <= hit.start():
+            start, end = _trim(text, run.start(), run.end(), hit.start())
+            if start <= hit.start() < end and any(c.isdigit() for c in text[start:end]):
+                last = end
+                yield start, end
 
 
 def _trim(text: str, start: int, end: int, hit: int) -> tuple[int, int]:
@@ -284,12 +294,14 @@ def candidates(text: str, judge: Judge | None = None) -> Iterator[Candidate]:
     unknown, and beside no word that is beside names.
     """
     text = text.replace("\r", "\n")
-    for a, b in list(email_spans(text)):
+    spans = list(email_spans(text))
+    for a, b in spans:
         yield Candidate("email", a, b, (), ())
-        text = text[:a] + "\0" * (b - a) + text[b:]
-    for a, b in list(address_spans(text)):
+    text = _blanked(text, spans)
+    spans = list(address_spans(text))
+    for a, b in spans:
         yield Candidate("address", a, b, (address_shape(text[a:b]),), contexts(text, a, b))
-        text = text[:a] + "\0" * (b - a) + text[b:]
+    text = _blanked(text, spans)
     for a, b in number_spans(text):
         span = text[a:b]
         if sum(map(str.isdigit, span)) >= 6:
@@ -306,6 +318,15 @@ def candidates(text: str, judge: Judge | None = None) -> Iterator[Candidate]:
             yield Candidate("person", a, b, tokens, contexts(text, a, b, True))
 
 
+def _blanked(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text with spans (in order) as zeros of equal length."""
+    out, at = [], 0
+    for a, b in spans:
+        out += [text[at:a], "\0" * (b - a)]
+        at = b
+    return "".join([*out, text[at:]]) if out else text
+
+
 _INITIAL = re.compile(r"(?<!\w)\w\.")
 
 
@@ -375,11 +396,16 @@ def bootstrap(graph: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
         )
         by = by.where((F.col("all") >= SUPPORT) | (cued == 1.0))
         context = durable(by.select("kind", "context", "all", F.coalesce(cued, against, F.col("good") / (F.col("all") + 0.5)).alias("c")), "contexts")
-        best = links.join(context.select("kind", "context", "c"), ["kind", "context"], "left").groupBy("kind", "instance").agg(
+        sides = links.join(context.select("kind", "context", "c"), ["kind", "context"], "left").groupBy("kind", "instance", F.substring("context", 1, 1).alias("side")).agg(
             F.sum("n").alias("all"), F.sum(F.col("n") * F.coalesce("c", F.lit(0.0))).alias("good")
         )
+        # the words on one side may tell a kind while those on the other tell nothing
+        best = sides.groupBy("kind", "instance").agg(F.sum("all").alias("all"), F.sum("good").alias("good"), F.max_by("all", F.col("good") / F.col("all")).alias("side_all"), F.max_by("good", F.col("good") / F.col("all")).alias("side_good"))
         best = best.join(seeds, ["kind", "instance"], "left")
-        scored = durable(best.select("kind", "instance", "all", F.greatest(F.coalesce("seed", F.lit(0.0)), F.col("good") / (F.col("all") + 0.5)).alias("score")), "instances").select("kind", "instance", "score", "all")
+        # parts of email addresses are names; a shape only speaks for itself while it is rare
+        shaped = F.when(F.col("kind") != "person", (F.col("seed") * PRIOR + F.col("side_good")) / (F.col("side_all") + PRIOR))
+        score = F.coalesce(shaped, F.greatest("seed", F.col("good") / (F.col("all") + 0.5)))
+        scored = durable(best.select("kind", "instance", "all", score.alias("score")), "instances")
         final = scored
         scored = scored.select("kind", "instance", "score")
     return context.where(F.col("c") >= KNOWN).select("kind", "context", "c"), final.where(F.col("score") >= KNOWN).select("kind", "instance", "score")
@@ -464,14 +490,20 @@ def numbered_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return durable(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), "texts")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def learn(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Confident contexts and instances of all texts, for :func:`find` and :func:`redact`."""
+    return bootstrap(durable(evidence(docs, text_col), "evidence"))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learned: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``id_col kind span start``: every piece of personal information as it stands in the text (``start`` in characters).
 
     Null, empty and blank texts have none; a null id stays null; repeated rows
     repeat their result; texts are read whole; an empty table gives an empty
-    result; other columns are ignored.
+    result; other columns are ignored. ``learned``: what :func:`learn` gave for
+    the same or other texts; without it these texts are learned from.
     """
-    confident = bootstrap(durable(evidence(docs, text_col), "evidence"))
+    confident = learned or learn(docs, text_col)
     if (held := lexicon(*confident)) is None:
         texts = numbered_texts(docs, id_col, text_col)
         return joined(texts, *confident).join(texts.select("row", "id"), "row").select(F.col("id").alias(id_col), "kind", "span", "start")
@@ -494,9 +526,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_t_")).mapInArrow(run, schema)
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learned: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``id_col redacted``: each text with typed placeholders (``[EMAIL]`` and so on) in place of what :func:`find` finds; null stays null."""
-    confident = bootstrap(durable(evidence(docs, text_col), "evidence"))
+    confident = learned or learn(docs, text_col)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("redacted", T.StringType())])
 
     def replaced(text: str, spans: Iterable[tuple[int, int, str]]) -> str:

@@ -508,6 +508,27 @@ def test_personal_information(spark):
     assert pii.find(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text,span",
+    [
+        ("to joe@163.com now", "joe@163.com"), ("joe.smith [At] example.com", "joe.smith [At] example.com"), ("joe (At) example (Dot) com", "joe (At) example (Dot) com"),
+        ("JOE.SMITH AT EXAMPLE DOT COM", "JOE.SMITH AT EXAMPLE DOT COM"), ("x" * 300 + "@home.example", "x" * 300 + "@home.example"), ("see icon@2x.png", None), ("at 5 dot plots", None),
+        ("a@" + "sub." * 200 + "example.org", "a@" + "sub." * 200 + "example.org"),
+    ],
+)
+def test_addresses_of_any_form_and_length(text, span):
+    assert [text[a:b] for a, b in pii.email_spans(text)] == ([span] if span else [])
+
+
+def test_long_lines_are_read_once():
+    import time
+
+    line = " ".join(f"Flat {i}, {i} Harrow Road, Dolil; write to u{i}@home.example" for i in range(6000))
+    began = time.time()
+    found = list(pii.candidates(line))
+    assert sum(c.group == "email" for c in found) == 6000 and sum(c.group == "address" for c in found) == 6000 and time.time() - began < 20
+
+
 def test_more_contexts_than_the_lexicon_holds(spark, sf_dir, monkeypatch):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     df = docs.union(docs.limit(20)).union(docs.limit(20).select(F.lit(None).cast(docs.schema["doc_id"].dataType), "text")).union(docs.limit(1).select("doc_id", F.lit(None).cast("string")))
