@@ -212,10 +212,25 @@ def tier(source: Column, is_plural: Column, risk: Column) -> Column:
     return F.when(is_plural | risk | F.regexp_like(source, F.lit(CLAIM_WORDS)), "A").when(words <= 1, "C").otherwise("B")
 
 
-def length_class(key: Column) -> Column:
-    """body endings first, then those of one line."""
+# Nouns that a comment names a control by, words of a single line, and what begins a further qualification of a noun.
+CONTROL_NOUN = r"(?i)\b(button|line|tab|badge|chip|pill|toggle|widget|label|shield|caption|eyebrow|heading|header|title)$"
+FIT_HINT = r"(?i)single[- ]line|one line"
+QUALIFIER = r"(?i)\s+(?:used|shown|opening|above|below|under|for|on|in|by|of|with|to|into|from|across|that|which)\b.*$"
+
+
+def names_control(phrase: Column) -> Column:
+    """Whether a phrase's first clause ends in a control, or it asks for one line."""
+    clause = F.regexp_extract(phrase, r"^[^;.,]*", 0)
+    return F.trim(F.regexp_replace(clause, QUALIFIER, "")).rlike(CONTROL_NOUN) | phrase.rlike(FIT_HINT)
+
+
+def length_class(key: Column, comment: Column | None = None) -> Column:
+    """body endings first; single_line by the key's area or ending, or by what the comment (``element: purpose``) names; else open."""
     tail = F.substring_index(key, ".", -1)
-    return F.when(tail.rlike(BODY_TAIL), "body").when(tail.rlike(SINGLE_LINE_TAIL), "single_line").otherwise("open")
+    said = F.coalesce(comment if comment is not None else F.lit(""), F.lit(""))
+    element, purpose = F.substring_index(said, ":", 1), F.regexp_extract(said, r"(?s)^[^:]*:(.*)$", 1)
+    single = key.rlike(r"^(?:widgets|shield)\.") | tail.rlike(SINGLE_LINE_TAIL) | names_control(element) | names_control(purpose)
+    return F.when(tail.rlike(BODY_TAIL), "body").when(single, "single_line").otherwise("open")
 
 
 def severity_rank(c: str = "severity") -> Column:

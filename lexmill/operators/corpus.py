@@ -33,6 +33,39 @@ def scoped_contexts(jobs: DataFrame, contexts: DataFrame) -> DataFrame:
     return jobs.select("job", scopes.alias("scope")).join(stated, "scope").select("job", "context").distinct()
 
 
+def context_counts(jobs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``job n_contexts`` of :func:`scoped_contexts`, where a job has any; contexts of all jobs are counted once instead of meeting every job."""
+    stated = contexts.where("context is not null").select("scope", "context").distinct()
+    everywhere = stated.where("scope = '*'").select("context")
+    every = everywhere.agg(F.count(F.lit(1)).alias("_every"))
+    own = stated.where("scope != '*'").join(everywhere, "context", "left_anti")
+    known = jobs.select("job", "locale", "category").distinct()
+    # the two scopes of a job may state the same context; there are few kinds of jobs
+    kinds = known.select("locale", "category").distinct().withColumn("_kind", F.struct("locale", "category"))
+    scopes = kinds.select("_kind", F.explode(F.array(F.col("locale"), F.concat(F.lit("category:"), F.col("category")))).alias("scope"))
+    counts = scopes.join(own, "scope").groupBy("_kind").agg(F.countDistinct("context").alias("_own")).select("_kind.locale", "_kind.category", "_own")
+    each = known.join(counts, ["locale", "category"], "left").groupBy("job").agg(F.max(F.coalesce("_own", F.lit(0))).alias("_own"))
+    return each.crossJoin(F.broadcast(every)).select("job", (F.col("_own") + F.col("_every")).alias("n_contexts")).where("n_contexts > 0")  # one row
+
+
+#: What keeps a job from being exported, in this order.
+BLOCKERS = ("unresolved lineage", "no category", "no review", "no context", "uncertain authorship", "scripture differs")
+
+
+def export_blockers(jobs: DataFrame) -> DataFrame:
+    """``job blocker`` of ``job blocked_lineage category passed n_contexts kind text evidence``; a job may have several.
+
+    ``evidence``: the canonical text of a scripture job, null where none is known. Nulls count as what blocks.
+    """
+    never = lambda c: ~F.coalesce(c, F.lit(False))
+    conditions = (
+        F.coalesce(F.col("blocked_lineage"), F.lit(True)), F.coalesce(F.trim("category"), F.lit("")) == "", never(F.col("passed")), never(F.col("n_contexts") > 0),
+        F.coalesce(F.col("kind"), F.lit("uncertain")) == "uncertain", (F.col("kind") == "scripture") & ~F.col("text").eqNullSafe(F.col("evidence")),
+    )
+    found = F.array(*[F.when(c, F.lit(b)) for b, c in zip(BLOCKERS, conditions)])
+    return jobs.select("job", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("blocker"))
+
+
 def fingerprints(jobs: DataFrame) -> DataFrame:
     """``jobs`` with ``fingerprint`` over source, locale, group and context."""
     return jobs.withColumn("fingerprint", source_hash("source_hash", "locale", "group_id", "context_hash"))
@@ -99,9 +132,9 @@ def collisions(texts: DataFrame) -> DataFrame:
     ``texts``: ``category locale group_id text is_new``. The name of a collision
     changes with its members: it is a sum of their hashes, which needs no list.
     """
-    from lexmill.functions.text import normalise
+    from lexmill.functions.text import casefold, collapse_ws
 
-    df = texts.where("text is not null").withColumn("text_norm", normalise("text"))
+    df = texts.where("text is not null").withColumn("text_norm", casefold(collapse_ws("text")))
     member = F.conv(F.substring(F.md5(F.concat_ws("|", "group_id", F.col("is_new").cast("string"))), 1, 8), 16, 10).cast("long")
     g = df.withColumn("m", member).groupBy("category", "locale", "text_norm").agg(
         F.countDistinct("group_id").alias("n_groups"), F.count(F.lit(1)).alias("n_rows"), F.max(F.col("is_new").cast("int")).alias("any_new"), F.sum("m").alias("s")

@@ -8,11 +8,11 @@ which all files are projected to typed columns, with a report of failed casts.
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +37,15 @@ def raw_type(value: object) -> str | None:
 
 
 def _hash(text: str) -> bytes:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return xxhash.xxh3_64_digest(text.encode("utf-8", "surrogatepass"))
+
+
+def _value_hash(value: object) -> bytes:
+    """Equal for equal values; strings and numbers, which most are, without writing JSON."""
+    kind = type(value)
+    if kind is str:
+        return _hash('"' + value)
+    return _hash(repr(value) if kind is int or value is None else _canonical(value))
 
 
 def _values(p: dict) -> dict[bytes, bytes]:
@@ -80,13 +88,14 @@ def profile(body: str | None) -> list[dict] | None:
     for path, item, value in paths(parsed):
         found.setdefault(path, {})[item] = value
     out = []
+    names = {k: _hash(k) for values in found.values() for k in values}
     for path, values in sorted(found.items()):
         kinds = {k for v in values.values() if (k := raw_type(v))}
         if kinds == {"integer", "double"}:
             kinds = {"double"}
         out.append({
             "path": path, "type": "|".join(sorted(kinds)) or None, "nulls": sum(v is None for v in values.values()),
-            "items": b"".join(_hash(k) for k in values), "hashes": b"".join(_hash(_canonical(v)) for v in values.values()),
+            "items": b"".join(names[k] for k in values), "hashes": b"".join(map(_value_hash, values.values())),
         })
     return out
 
@@ -115,7 +124,7 @@ def compare(old: list[dict], new: list[dict]) -> list[tuple[str, str, str | None
         parts = path.split(".")
         return any(".".join(parts[:i]) in closed for i in range(1, len(parts)))
 
-    for depth in range(3):
+    for depth in range(max((p.count(".") for p in (*a, *b)), default=-1) + 1):
         gone = [p for p in sorted(a) if p not in b and p.count(".") == depth and not below(p)]
         come = [p for p in sorted(b) if p not in a and p.count(".") == depth and not below(p)]
         for old_path in list(gone):
@@ -203,7 +212,8 @@ def nested_names(changes: DataFrame) -> frozenset[str]:
 
 def all_changes(files: DataFrame) -> DataFrame:
     """:func:`field_changes` with the fields below every object of open items."""
-    profiles = durable(file_profiles(files.dropDuplicates(["file_no"])), "profiles")
+    # a file sent again is parsed again, but only its profile is shuffled
+    profiles = durable(file_profiles(files).dropDuplicates(["file_no"]), "profiles")
     good = profiles.where("profile is not null")
     pairs = predecessors(good)
     new = good.select("file_no", F.col("profile").alias("new"))

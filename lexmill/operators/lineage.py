@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.operators.skew import hot_keys_of, salted_join
 from lexmill.session import durable, forget
 
 # Verification states that may be shipped, and those left out; the form of a language tag.
@@ -22,7 +23,10 @@ def record_locale(language: Column, present: Column) -> Column:
 def record_issues(quotes: DataFrame) -> DataFrame:
     """``id code blocking`` of ``id category text language has_language status pair_id translation_of``; links are judged by a join with the records themselves."""
     known = quotes.where("id is not null").groupBy("id").agg(F.min("category").alias("parent_category"))
-    df = quotes.join(known.select(F.col("id").alias("translation_of"), "parent_category"), "translation_of", "left")
+    # most records link to nothing; they stay out of the join, where they would all meet in one task
+    parents = known.select(F.col("id").alias("translation_of"), "parent_category")
+    alone = quotes.where("translation_of is null").withColumn("parent_category", F.lit(None).cast("string"))
+    df = quotes.where("translation_of is not null").join(parents, "translation_of", "left").unionByName(alone)
     empty = lambda c: F.col(c).isNull() | (F.trim(c) == "")
     linked = F.col("translation_of").isNotNull()
     rules = {
@@ -41,6 +45,14 @@ def record_issues(quotes: DataFrame) -> DataFrame:
     return df.select("id", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("i")).select("id", "i.code", "i.blocking")
 
 
+def identity_errors(quotes: DataFrame) -> DataFrame:
+    """``id error``: null and blank ids, and ids of records that differ; with any of them there is no lineage to build. A record sent again is no error."""
+    named = quotes.withColumn("_body", F.xxhash64(*[c for c in quotes.columns if c != "id"]))
+    counted = named.groupBy("id").agg(F.min("_body").alias("a"), F.max("_body").alias("b"))  # partial before the shuffle
+    error = F.when(F.col("id").isNull(), "no id").when(F.trim("id") == "", "blank id").when(F.col("a") != F.col("b"), "different records")
+    return counted.select("id", error.alias("error")).where("error is not null")
+
+
 def lineage_edges(quotes: DataFrame) -> DataFrame:
     """``a b``: a translation and its existing parent of the same category, and each record with the smallest one of its (category, pair id)."""
     known = quotes.where("id is not null").select("id", "category").distinct()
@@ -61,12 +73,14 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) ->
     """
     both = durable(edges.union(edges.select("b", "a")).where("a != b").distinct(), "edges")
     labels = durable(vertices.select("id").distinct().withColumn("root", F.col("id")), "labels")
+    hot = hot_keys_of(both, "b")
     for _ in range(max_rounds):
-        around = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("root").alias("m"))
+        around = salted_join(both, labels.withColumnRenamed("id", "b"), "b", "a", hot).groupBy("a").agg(F.min("root").alias("m"))
         low = labels.join(around, labels["id"] == around["a"], "left").select("id", F.col("root").alias("old"), F.least("root", F.coalesce("m", "root")).alias("root"))
         low = durable(low, "low")
         above = low.select(F.col("id").alias("root"), F.col("root").alias("higher"))
-        new = durable(low.join(above, "root", "left").select("id", "old", F.least("root", F.coalesce("higher", "root")).alias("root")), "labels")
+        # a giant component is one root for all its members
+        new = durable(salted_join(low, above, "root", "id", hot_keys_of(low, "root"), how="left").select("id", "old", F.least("root", F.coalesce("higher", "root")).alias("root")), "labels")
         changed = not new.where("root != old").isEmpty()
         forget(low)
         labels = new.select("id", "root")
@@ -104,7 +118,8 @@ def lineage_groups(quotes: DataFrame, roots: DataFrame, requested: list[str]) ->
     q = quotes.dropDuplicates(["id"]).join(roots, "id")
     pointed = quotes.select(F.col("translation_of").alias("id")).where("id is not null").distinct().withColumn("pointed", F.lit(True))
     valid = quotes.select(F.col("id").alias("translation_of")).distinct().withColumn("has_parent", F.lit(True))
-    q = q.join(pointed, "id", "left").join(valid, "translation_of", "left")
+    q = q.join(pointed, "id", "left")
+    q = q.where("translation_of is not null").join(valid, "translation_of", "left").unionByName(q.where("translation_of is null").withColumn("has_parent", F.lit(None).cast("boolean")))
     locale = F.coalesce("language", F.lit("<invalid>"))
     is_root = F.col("has_parent").isNull()
     linked = is_root & F.col("pointed").isNotNull()

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
 from lexmill.operators.phrases import phrase_hits
+from lexmill.session import durable
 
 # Facts that a translation must keep, by kind.
 INVARIANTS = {
@@ -17,8 +21,37 @@ INVARIANTS = {
     "strength": r"(?i)\b(always|never|guaranteed|guarantee|every|all|forever|lowest|only|best|most|least|more|less|cheaper|faster|instantly|unlimited|100%)\b",
     "condition": r"(?i)\b(if|when|whenever|until|unless|after|before|once|while|as soon as)\b",
 }
-# Words of a comment or key that tell a control, in this order.
-CONTROLS = ("button", "toggle", "tab", "placeholder", "badge", "caption", "subtitle", "title", "footer", "description", "body", "hint")
+# Controls in the order in which they are looked for: name, (field, pattern) of which one must match, and one that must match as well.
+# Fields: key, tail (the last segment), comment and head (its first clause); all but the key in lower case.
+CONTROLS = (
+    ("voiceover label", (("key", r"\.a11y\."), ("comment", "voiceover|accessibility")), None),
+    ("widget name", (("tail", "^displayname$"),), None),
+    ("widget description", (("tail", "^description$"),), ("key", r"^widgets\.")),
+    ("alert body", (("key", r"\.alert\."), ("comment", "alert")), ("tail", "message|body")),
+    ("alert title", (("key", r"\.alert\."), ("comment", "alert")), None),
+    ("button", (("tail", "button|cta|action|confirm|cancel|done|skip|retry|continue|save|edit|delete|dismiss|close|allow|restore|subscribe|start|stop|primary|secondary"), ("comment", "button")), None),
+    ("badge", (("tail", "badge"), ("comment", "badge")), None),
+    ("toggle", (("tail", "toggle"), ("comment", "toggle")), None),
+    ("hero headline", (("head", r"\bhero\b"),), None),
+    ("placeholder", (("tail", "placeholder"), ("head", "placeholder")), None),
+    ("subtitle", (("tail", "subtitle"),), None),
+    ("title", (("tail", "title|heading|headline|hero"), ("head", "title")), None),
+    ("caption", (("tail", "caption|footer|hint|detail"), ("comment", "caption")), None),
+    ("body", (("tail", "body|message|description|explanation|summary|text|line"),), None),
+    ("tab", (("tail", "^tab"), ("comment", "tab item")), None),
+)
+# Kinds of content in the order in which they are looked for; fields as above, and text, the source.
+KINDS = (
+    ("attributed", (("comment", "quotation|attributed|quote author"), ("key", r"quotation|attributed|quote author|\.author$"))),
+    ("user", (("comment", "user-written|user content|user's own text|typed by the user"),)),
+    ("disclaimer", (("text", r"(?i)not money earned|not (actual|real) (money|earnings)|disclaimer"), ("comment", r"not money earned|not (actual|real) (money|earnings)|disclaimer"))),
+    ("legal", (("key", "(?i)legal|terms|privacy|eula|policy"), ("comment", "legal|terms|privacy|eula|policy"))),
+    ("system-label", (("comment", "ios's own|system label|apple's own|mirrors the system|quotes ios"),)),
+    ("authored", (("comment", "affirmation|authored"),)),
+    ("promotional", (("key", "(?i)hero|benefit|motivation|celebration|winback|lastchance|beforeafter|encourag"), ("text", "!$"))),
+)
+# Controls whose texts are functional, and the most words of another functional text.
+FUNCTIONAL, FUNCTIONAL_WORDS = ("button", "toggle", "tab", "badge", "placeholder", "widget name"), 4
 
 
 def weakest_unit(units: DataFrame, locale: str) -> DataFrame:
@@ -29,15 +62,26 @@ def weakest_unit(units: DataFrame, locale: str) -> DataFrame:
     return u.groupBy("key").agg(text.alias("value"), F.min_by("state", F.struct(rank, "variation")).alias("state"))
 
 
+def _fields(key: Column, comment: Column, text: Column | None = None) -> dict[str, Column]:
+    low = F.lower(F.coalesce(comment, F.lit("")))
+    return {"key": key, "tail": F.lower(F.substring_index(key, ".", -1)), "comment": low, "head": F.regexp_extract(low, r"(?s)^.*?(?=[.;]\s|\z)", 0), "text": text}
+
+
 def control_kind(key: Column, comment: Column) -> Column:
-    """The first control named by the comment, else by the key's last segment, else label."""
-    out = F.lit(None).cast("string")
-    for source in (F.lower(F.coalesce(comment, F.lit(""))), F.lower(F.substring_index(key, ".", -1))):
-        case = None
-        for c in CONTROLS:
-            case = F.when(F.contains(source, F.lit(c)), c) if case is None else case.when(F.contains(source, F.lit(c)), c)
-        out = F.coalesce(out, case)
-    return F.coalesce(out, F.lit("label"))
+    """The first of CONTROLS that key and comment tell, else label."""
+    fields = _fields(key, comment)
+    name = lambda one_of, also: functools.reduce(operator.or_, (fields[f].rlike(p) for f, p in one_of)) & (fields[also[0]].rlike(also[1]) if also else F.lit(True))
+    found = F.coalesce(*[F.when(name(one_of, also), F.lit(control)) for control, one_of, also in CONTROLS])
+    return F.coalesce(found, F.lit("label"))
+
+
+def content_kind(key: Column, text: Column, comment: Column, control: Column) -> Column:
+    """The first of KINDS that key, source and comment tell, else functional or explanatory by control and length."""
+    fields = _fields(key, comment, F.coalesce(text, F.lit("")))
+    found = [F.when(functools.reduce(operator.or_, (fields[f].rlike(p) for f, p in one_of)), F.lit(kind)) for kind, one_of in KINDS]
+    words = F.size(F.regexp_extract_all(fields["text"], F.lit(r"(?U)\S+"), F.lit(0)))
+    short = F.when(control.isin(*FUNCTIONAL) | (words <= FUNCTIONAL_WORDS), F.lit("functional"))
+    return F.coalesce(*found, short, F.lit("explanatory"))
 
 
 def invariants(values: DataFrame) -> DataFrame:
@@ -93,17 +137,17 @@ def carry_over(new: DataFrame, old: DataFrame, fields: list[str], guards: list[s
 
 
 def leaves(rows: DataFrame, key: str, json: str) -> DataFrame:
-    """``key path leaf``: string leaves of JSON texts, depth first, through objects and arrays of any depth up to eight."""
+    """``key path leaf``: string leaves of JSON texts, through objects and arrays of any depth; a level at a time, as long as there is one."""
     level = rows.select(F.col(key).alias("key"), F.lit("$").alias("path"), F.try_parse_json(F.col(json)).alias("v")).where("v is not null")
-    out = None
-    for _ in range(8):
+    level, out = durable(level, "level"), None
+    while not level.isEmpty():
         kind = F.schema_of_variant("v")
         strings = level.where(kind == "STRING").select("key", "path", F.try_variant_get("v", "$", "string").alias("leaf"))
         out = strings if out is None else out.union(strings)
         nested = level.where(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
         nested.createOrReplaceTempView("_lexmill_nested")
-        level = nested.sparkSession.sql("SELECT n.key, n.path || '.' || coalesce(e.key, cast(e.pos AS string)) AS path, e.value AS v FROM _lexmill_nested n, LATERAL variant_explode(n.v) AS e(pos, key, value)")
-    return out
+        level = durable(nested.sparkSession.sql("SELECT n.key, n.path || '.' || coalesce(e.key, cast(e.pos AS string)) AS path, e.value AS v FROM _lexmill_nested n, LATERAL variant_explode(n.v) AS e(pos, key, value)"), "level")
+    return out if out is not None else level.select("key", "path", F.lit("").alias("leaf"))
 
 
 def leaks(blind: DataFrame, forbidden: DataFrame, allowed: DataFrame | None = None) -> DataFrame:

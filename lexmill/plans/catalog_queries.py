@@ -158,13 +158,19 @@ WHEN len(regexp_extract_all(coalesce(source, ''), '\\S+')) <= 1 THEN 'C' ELSE 'B
 
 def length_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.groupBy(checks.length_class(F.col("screen_key")).alias("class"), X.key_prefix("screen_key", 1).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    return d.groupBy(checks.length_class(F.col("screen_key"), F.col("title")).alias("class"), X.key_prefix("screen_key", 1).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
 
 
-LENGTH_CLASS_SQL = """SELECT CASE WHEN regexp_matches(tail, '(?i)(criterion|earned|message|body|description|explanation)$') THEN 'body'
-WHEN regexp_matches(tail, '(?i)(button|cta|action|title|label|tab|toggle|badge|chip|pill|header|heading|name|option|placeholder|short|suffix|unit)$') THEN 'single_line' ELSE 'open' END AS class,
-CASE WHEN regexp_matches(k, '^[A-Za-z0-9_-]+(\\.[A-Za-z0-9_-]+)+$') THEN split_part(k, '.', 1) ELSE '<literal>' END AS prefix, count(*) AS n
-FROM (SELECT screen_key AS k, split_part(screen_key, '.', -1) AS tail FROM documents) GROUP BY 1, 2"""
+def _names_control(c: str) -> str:
+    clause = f"trim(regexp_replace(regexp_extract({c}, '^[^;.,]*'), '{checks.QUALIFIER}', ''))"
+    return f"(regexp_matches({clause}, '{checks.CONTROL_NOUN}') OR regexp_matches({c}, '{checks.FIT_HINT}'))"
+
+
+LENGTH_CLASS_SQL = rf"""SELECT CASE WHEN regexp_matches(tail, '(?i)(criterion|earned|message|body|description|explanation)$') THEN 'body'
+WHEN starts_with(k, 'widgets.') OR starts_with(k, 'shield.') OR regexp_matches(tail, '(?i)(button|cta|action|title|label|tab|toggle|badge|chip|pill|header|heading|name|option|placeholder|short|suffix|unit)$')
+OR {_names_control("split_part(c, ':', 1)")} OR {_names_control("CASE WHEN contains(c, ':') THEN substr(c, instr(c, ':') + 1) ELSE '' END")} THEN 'single_line' ELSE 'open' END AS class,
+CASE WHEN regexp_matches(k, '^[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+)+$') THEN split_part(k, '.', 1) ELSE '<literal>' END AS prefix, count(*) AS n
+FROM (SELECT screen_key AS k, split_part(screen_key, '.', -1) AS tail, coalesce(title, '') AS c FROM documents) GROUP BY 1, 2"""
 
 
 def source_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,10 +288,33 @@ def control_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy(packets.control_kind(F.col("screen_key"), F.col("title")).alias("control")).agg(F.count(F.lit(1)).alias("n"))
 
 
+_FIELD = {"key": "screen_key", "tail": "lower(split_part(screen_key, '.', -1))", "comment": "lower(coalesce(title, ''))", "head": "regexp_extract(lower(coalesce(title, '')), '(?s)^(.*?)(?:[.;]\\s|\\z)', 1)", "text": "coalesce(text, '')"}
+
+
+def _told(field: str, pattern: str) -> str:
+    return f"regexp_matches({_FIELD[field]}, '{pattern.replace(chr(39), chr(39) * 2)}')"
+
+
+def _control_case() -> str:
+    rules = [f"WHEN ({' OR '.join(_told(*x) for x in one_of)}){f' AND {_told(*also)}' if also else ''} THEN '{name}'" for name, one_of, also in packets.CONTROLS]
+    return "CASE " + " ".join(rules) + " ELSE 'label' END"
+
+
 def _control_kind_sql() -> str:
-    case = lambda c: "CASE " + " ".join(f"WHEN contains({c}, '{x}') THEN '{x}'" for x in packets.CONTROLS) + " END"
-    title, tail = case("lower(coalesce(title, ''))"), case("lower(split_part(screen_key, '.', -1))")
-    return f"SELECT coalesce({title}, {tail}, 'label') AS control, count(*) AS n FROM documents GROUP BY 1"
+    return f"SELECT {_control_case()} AS control, count(*) AS n FROM documents GROUP BY 1"
+
+
+def content_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What kind of content a text is, by its screen, its title as a comment, and itself."""
+    d = table(spark, sf_dir, "documents")
+    control = packets.control_kind(F.col("screen_key"), F.col("title"))
+    return d.groupBy(packets.content_kind(F.col("screen_key"), F.col("text"), F.col("title"), control).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _content_sql() -> str:
+    rules = [f"WHEN {' OR '.join(_told(*x) for x in one_of)} THEN '{kind}'" for kind, one_of in packets.KINDS]
+    short = f"WHEN {_control_case()} IN ({', '.join(repr(c) for c in packets.FUNCTIONAL)}) OR len(regexp_extract_all(coalesce(text, ''), '[^\\s\\p{{Z}}]+')) <= {packets.FUNCTIONAL_WORDS} THEN 'functional'"
+    return f"SELECT CASE {' '.join(rules)} {short} ELSE 'explanatory' END AS kind, count(*) AS n FROM documents GROUP BY 1".replace("{{", "{").replace("}}", "}")
 
 
 def string_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +352,27 @@ UNION ALL SELECT key, 'all capitals' FROM v WHERE length(letters) > 1 AND NOT re
 def casing_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = packet_entries(spark, sf_dir)
     none = F.array().cast("array<string>")
-    return casing.casing_findings(e.select("key", "variation", F.col("target").alias("value"), F.lit("sentence").alias("style"), F.array(F.lit("ID"), F.lit("API")).alias("protected"), none.alias("exceptions"), F.lit(True).alias("review_capitals")))
+    return casing.casing_findings(e.select("key", "variation", F.col("target").alias("value"), F.lit("sentence").alias("style"), F.array(F.lit("ID"), F.lit("API")).alias("protected"), none.alias("exceptions"), F.lit("review").alias("capitals")))
+
+
+def casing_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry held to each style, the letters alone."""
+    e = packet_entries(spark, sf_dir).where("target is not null")
+    styles = F.explode(F.array(*[F.lit(x) for x in ("uppercase", "lowercase", "sentence", "title", "preserve")]))
+    rows = e.select(F.col("key"), "variation", F.col("target").alias("masked"), styles.alias("style"), F.lit("sentence").alias("expected"))
+    return casing.style_findings(rows).groupBy("severity", "message").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("key").alias("n_keys"))
+
+
+STYLES_SQL = rf"""WITH {ENTRIES}, v AS (SELECT key, target, regexp_replace(target, '[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]', '', 'g') AS cased, regexp_extract(target, '[\p{{L}}\p{{N}}_]') AS first FROM entries WHERE target IS NOT NULL),
+s(style) AS (VALUES ('uppercase'), ('lowercase'), ('sentence'), ('title'), ('preserve')), r AS (SELECT * FROM v CROSS JOIN s), f AS (
+SELECT key, 'needs_disposition' AS severity, 'style is not the role''s and no exception names the value' AS message FROM r WHERE style <> 'sentence'
+UNION ALL SELECT key, 'major', 'lower case in an uppercase role' FROM r WHERE style = 'uppercase' AND regexp_matches(target, '\p{{Ll}}')
+UNION ALL SELECT key, 'needs_disposition', 'a capital in a lowercase role' FROM r WHERE style = 'lowercase' AND regexp_matches(target, '\p{{Lu}}')
+UNION ALL SELECT key, 'major', 'starts with a lower-case letter' FROM r WHERE style IN ('sentence', 'title') AND regexp_matches(first, '\p{{Ll}}')
+UNION ALL SELECT key, 'major', 'all capitals' FROM r WHERE style IN ('sentence', 'title') AND length(cased) > 1 AND NOT regexp_matches(cased, '[^\p{{Lu}}]')
+UNION ALL SELECT key, 'needs_disposition', 'lower case after a sentence end' FROM r WHERE style IN ('sentence', 'title') AND regexp_matches(target, '[.!?][\s\p{{Z}}]+\p{{Ll}}')
+UNION ALL SELECT key, 'needs_disposition', 'title case needs a reading of its main words' FROM r WHERE style = 'title')
+SELECT severity, message, count(*) AS n, count(DISTINCT key) AS n_keys FROM f GROUP BY 1, 2"""
 
 
 def equivalent_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,7 +425,7 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         unit_inventory, findings_summary, placeholder_diff, markup_parity, typography_rules, length_ratio_render_list, forbidden_terms, term_prefix_counts, option_counts, control_drift, state_gate, identity_check,
         same_source_divergence, tier_classification, length_classes, source_hash, worklist_status, latest_verdict, latest_event, batch_neighbours, fixed_size_batches, batch_packing, leak_check, invariant_facts,
-        same_source_siblings, context_neighbours, control_kinds, string_leaves, state_changes, simple_casing, casing_findings, equivalent_drift, guarded_apply, opaque_numbers, key_mentions,
+        same_source_siblings, context_neighbours, control_kinds, content_classes, string_leaves, state_changes, simple_casing, casing_styles, casing_findings, equivalent_drift, guarded_apply, opaque_numbers, key_mentions,
     )}
 
 
@@ -393,6 +442,6 @@ def oracle_sql() -> dict[str, str]:
         "placeholder_diff": PLACEHOLDER_SQL, "markup_parity": MARKUP_SQL, "typography_rules": _typography_sql(), "length_ratio_render_list": RATIO_SQL, "forbidden_terms": FORBIDDEN_SQL, "term_prefix_counts": PREFIX_SQL,
         "option_counts": OPTION_SQL, "control_drift": CONTROL_SQL, "state_gate": STATE_SQL, "identity_check": IDENTITY_SQL, "same_source_divergence": DIVERGENCE_SQL, "tier_classification": TIER_SQL, "length_classes": LENGTH_CLASS_SQL,
         "source_hash": HASH_SQL, "worklist_status": WORKLIST_SQL, "latest_verdict": LATEST_SQL, "latest_event": EVENT_SQL, "batch_neighbours": NEIGHBOUR_SQL, "fixed_size_batches": FIXED_SQL, "leak_check": LEAK_SQL,
-        "invariant_facts": _invariant_sql(), "same_source_siblings": SIBLING_SQL, "context_neighbours": CONTEXT_SQL, "control_kinds": _control_kind_sql(), "string_leaves": LEAVES_SQL, "state_changes": CHANGES_SQL,
-        "simple_casing": CASING_SQL, "equivalent_drift": DRIFT_SQL, "guarded_apply": APPLY_SQL, "opaque_numbers": OPAQUE_SQL, "key_mentions": MENTION_SQL,
+        "invariant_facts": _invariant_sql(), "same_source_siblings": SIBLING_SQL, "context_neighbours": CONTEXT_SQL, "control_kinds": _control_kind_sql(), "content_classes": _content_sql(), "string_leaves": LEAVES_SQL, "state_changes": CHANGES_SQL,
+        "simple_casing": CASING_SQL, "casing_styles": STYLES_SQL, "equivalent_drift": DRIFT_SQL, "guarded_apply": APPLY_SQL, "opaque_numbers": OPAQUE_SQL, "key_mentions": MENTION_SQL,
     }

@@ -90,14 +90,47 @@ def target_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 COLLISION_SQL = f"""WITH {PAIRS}, {QUOTES}, t AS (SELECT category, locale, source_id AS g, target AS text FROM pairs UNION SELECT category, language, id, text FROM quotes)
-SELECT category, locale, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS text_norm, count(DISTINCT g) AS n_groups, count(*) AS n_rows FROM t WHERE text IS NOT NULL GROUP BY 1, 2, 3 HAVING count(DISTINCT g) > 1"""
+SELECT category, locale, replace(replace(lower(trim(regexp_replace(replace(text, 'İ', 'i' || chr(775)), '\\s+', ' ', 'g'))), 'ß', 'ss'), 'ς', 'σ') AS text_norm, count(DISTINCT g) AS n_groups, count(*) AS n_rows FROM t WHERE text IS NOT NULL GROUP BY 1, 2, 3 HAVING count(DISTINCT g) > 1"""
+
+
+def identity_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjudicated copies of one source that differ."""
+    a = pairs(spark, sf_dir).select(F.col("source_id").alias("id"), "category", F.col("source").alias("text"))
+    return lineage.identity_errors(a)
+
+
+IDENTITY_ERROR_SQL = f"""WITH {PAIRS}, r AS (SELECT DISTINCT source_id AS id, category, source AS text FROM pairs)
+SELECT id, CASE WHEN id IS NULL THEN 'no id' WHEN trim(id) = '' THEN 'blank id' ELSE 'different records' END AS error FROM r GROUP BY id HAVING id IS NULL OR trim(id) = '' OR count(*) > 1"""
+
+
+def export_blockers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What keeps adjudicated quotes back: their last verdict, blank themes for contexts, and how they are verified."""
+    return corpus.export_blockers(_export_jobs(spark, sf_dir)).groupBy("blocker").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _export_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "adjudication_entries")
+    job = a.groupBy(F.concat(F.col("packet_no").cast("string"), F.lit(":"), "entry_id").alias("job")).agg(
+        F.min("source.category").alias("category"), F.min((F.col("editor_verdict") == "pass").cast("int") + (F.col("fidelity_verdict") == "pass").cast("int")).alias("passes"), F.count("source.theme").alias("n_contexts"),
+        F.min("text").alias("text"), F.min("source.text").alias("evidence"), F.max(F.col("source.attribution.name").isNotNull().cast("int")).alias("named"), F.min("source.verification").alias("status"), F.max((F.col("source.pair_id") == "").cast("int")).alias("bad"),
+    )
+    kind = corpus.content_kind(F.col("category"), F.col("named") == 1, F.col("status"))
+    return job.select("job", "category", (F.col("passes") == 2).alias("passed"), "n_contexts", kind.alias("kind"), "text", "evidence", (F.col("bad") == 1).alias("blocked_lineage"))
+
+
+EXPORT_BLOCKER_SQL = """WITH j AS (SELECT packet_no || ':' || entry_id AS job, min(source.category) AS category, min((editor_verdict = 'pass')::INT + (fidelity_verdict = 'pass')::INT) AS passes, count(source.theme) AS n_contexts, min(text) AS text,
+min(source.text) AS evidence, max((source.attribution.name IS NOT NULL)::INT) AS named, min(source.verification) AS status, max((source.pair_id = '')::INT) AS bad FROM adjudication_entries GROUP BY 1),
+k AS (SELECT *, CASE WHEN category = 'scripture' THEN 'scripture' WHEN named = 1 THEN 'attributed' WHEN status IN ('authored', 'curated') THEN 'authored' ELSE 'uncertain' END AS kind FROM j)
+SELECT blocker, count(*) AS n FROM (
+SELECT 'unresolved lineage' AS blocker FROM k WHERE bad IS NULL OR bad = 1 UNION ALL SELECT 'no category' FROM k WHERE coalesce(trim(category), '') = '' UNION ALL SELECT 'no review' FROM k WHERE passes IS NULL OR passes < 2
+UNION ALL SELECT 'no context' FROM k WHERE n_contexts = 0 UNION ALL SELECT 'uncertain authorship' FROM k WHERE kind = 'uncertain' UNION ALL SELECT 'scripture differs' FROM k WHERE kind = 'scripture' AND text IS DISTINCT FROM evidence) GROUP BY 1"""
 
 
 def scoped_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who decided glossary items that concern a job: decided ones by locale, others everywhere."""
     jobs = pairs(spark, sf_dir).select(F.col("key").alias("job"), "locale", "category").distinct()
     g = table(spark, sf_dir, "glossary_open").select(F.when(F.col("status") == "decided", F.col("locale")).otherwise("*").alias("scope"), F.col("decided_by").alias("context")).distinct()
-    return corpus.scoped_contexts(jobs, g).groupBy("job").agg(F.count(F.lit(1)).alias("n_contexts"))
+    return corpus.context_counts(jobs, g)
 
 
 SCOPE_SQL = f"""WITH {PAIRS}, g AS (SELECT DISTINCT CASE WHEN status = 'decided' THEN locale ELSE '*' END AS scope, decided_by FROM glossary_open)
@@ -259,7 +292,7 @@ def export_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        record_issues, lineage_components, lineage_cycles, lineage_groups, missing_locales, content_kinds, target_collisions, scoped_contexts, review_state, job_summary, id_coverage, finding_errors, envelope_errors,
+        record_issues, lineage_components, lineage_cycles, lineage_groups, missing_locales, content_kinds, target_collisions, identity_errors, export_blockers, scoped_contexts, review_state, job_summary, id_coverage, finding_errors, envelope_errors,
         open_item_errors, canonical_ranges, markdown_sections, repeated_lines, honesty_claims, carried_fields, overlaid_values, lost_records, token_parity, export_gate,
     )}
 
@@ -267,6 +300,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "record_issues": ISSUES_SQL, "lineage_components": f"WITH RECURSIVE {_REACH} SELECT id, root FROM roots", "lineage_cycles": CYCLES_SQL, "lineage_groups": GROUPS_SQL, "missing_locales": MISSING_SQL, "content_kinds": KIND_SQL,
-        "target_collisions": COLLISION_SQL, "scoped_contexts": SCOPE_SQL, "review_state": REVIEW_SQL, "job_summary": JOBS_SQL, "id_coverage": COVERAGE_SQL, "finding_errors": FINDING_SQL, "envelope_errors": ENVELOPE_SQL,
+        "target_collisions": COLLISION_SQL, "identity_errors": IDENTITY_ERROR_SQL, "export_blockers": EXPORT_BLOCKER_SQL, "scoped_contexts": SCOPE_SQL, "review_state": REVIEW_SQL, "job_summary": JOBS_SQL, "id_coverage": COVERAGE_SQL, "finding_errors": FINDING_SQL, "envelope_errors": ENVELOPE_SQL,
         "open_item_errors": OPEN_SQL, "canonical_ranges": RANGE_SQL, "markdown_sections": SECTION_SQL, "repeated_lines": REPEATED_SQL, "carried_fields": CARRY_SQL, "overlaid_values": OVERLAY_SQL, "lost_records": LOST_SQL, "token_parity": PARITY_SQL,
     }

@@ -1,5 +1,7 @@
 """Unit checks on small fixtures of our own."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
@@ -127,22 +129,63 @@ def test_leaks_and_overlay(spark):
     assert {(r.key, r.value) for r in packets.overlay(old, new).collect()} == {("a", None), ("b", "y"), ("c", "z")}
 
 
-def test_casing():
-    f = lambda v, s="sentence", p=(), e=(): {m for _, m in casing.spelling_problems(v, s, list(p), list(e), True)}
-    assert f("open the list") == {"starts with a lower-case letter"}
-    assert f("OPEN LIST") == {"all capitals", "a capital inside of the sentence"} and f("OPEN") == {"all capitals"}
-    assert f("Deschide Lista. Apoi mergi") == {"a capital inside of the sentence"} and f("Ένα. Δύο") == set()
-    assert f("%d days left") == set() and f("ios settings", p=["iOS"]) == {"protected spelling is iOS", "starts with a lower-case letter"}
-    assert f("iOS settings", p=["iOS"]) == set() and f("Save", "lowercase") == {"a capital in a lowercase role"}
-    assert f("weird", e=["weird"]) == set()
-    assert list(casing.protected_spans("ApplePie Apple", "Apple")) == [(9, 14)]
+def test_casing(spark):
+    rows = [
+        ("a", "open the list", "sentence", [], []), ("b", "OPEN LIST", "sentence", [], []), ("c", "Deschide Lista. Apoi mergi", "sentence", [], []), ("d", "Ένα. Δύο", "sentence", [], []),
+        ("e", "%d days left", "sentence", [], []), ("f", "ios settings", "sentence", ["iOS"], []), ("g", "iOS settings", "sentence", ["iOS"], []), ("h", "Save", "lowercase", [], []), ("i", "weird", "sentence", [], ["weird"]),
+        ("j", "anything", "preserve", [], []), ("k", None, "sentence", [], []), ("l", "Done: Next", "sentence", None, None), ("m", "ABC abc", "uppercase", ["ABC"], []),
+    ]
+    units = spark.createDataFrame([(k, "", v, s, p, e, "review") for k, v, s, p, e in rows], "key string, variation string, value string, style string, protected array<string>, exceptions array<string>, capitals string")
+    got = {}
+    for r in casing.casing_findings(units).collect():
+        got.setdefault(r.key, set()).add(r.message)
+    assert got == {
+        "a": {"starts with a lower-case letter"}, "b": {"all capitals", "a capital inside of the sentence"}, "c": {"a capital inside of the sentence"},
+        "f": {"protected spelling is iOS", "starts with a lower-case letter"}, "h": {"a capital in a lowercase role"}, "m": {"protected spelling is ABC", "lower case in an uppercase role"},
+    }
+    lexical = units.withColumn("capitals", F.lit("lexical_review")).withColumn("expected", F.lit("sentence"))
+    told = {(r.key, r.message) for r in casing.casing_findings(lexical).collect()}
+    assert {("h", "a fragment begins with a capital"), ("h", "style is not the role's and no exception names the value"), ("j", "style is not the role's and no exception names the value")} <= told
+    assert list(casing.protected_spans("ApplePie Apple", "Apple")) == [(9, 14)] and casing.casing_findings(units.limit(0)).count() == 0
 
 
 def test_names_beside_a_dotted_capital_i():
-    assert list(casing.protected_spans("İptal id İd", "ID")) == [(6, 8)] and casing.masked("İ ID", ["ID"]) == f"İ {casing.MASK}"
+    assert list(casing.protected_spans("İptal id İd", "ID")) == [(6, 8)] and casing.masked("İ ID", ["ID"])[0] == f"İ {casing.MASK}"
     assert list(casing.protected_spans("İ ΟΔΟΣ", "Οδος")) == [(2, 6)]
 
 
+def test_casing_contexts(spark):
+    schema = "key string, status string, role string, position string, style string, owner string, evidence string, expected_style string, exceptions array<struct<text:string,reason:string>>, protected array<string>, transform struct<operation:string,file:string,line:int,render_locale:string,render_evidence:string,render_status:string,catalog_value:string,rendered_value:string>"
+    good = ("button", "standalone", "sentence", "catalog", "seen", "sentence", [], [], None)
+    place = ("uppercase", "a.swift", 3, "ro", "shot", "pass", "salut", "SALUT")
+    rows = [
+        ("ok", "confirmed", *good), ("a", None, *good), ("b", "confirmed", "continuation", "standalone", "title", "view", "", "sentence", [("x", None)], [""], None), ("c", "confirmed", *good[:-1], ("uppercase", None, 0, None, None, None, None, None)),
+        ("d", "confirmed", "button", "standalone", "title", "view", "seen", "sentence", [("x", "name")], [], place), ("e", "confirmed", "button", "standalone", "title", "view", "seen", "sentence", [], [], place),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {(r.key, r.error) for r in casing.context_errors(df).collect()}
+    assert got == {
+        ("a", "not confirmed"), ("b", "continuation role in another position"), ("b", "no evidence"), ("b", "exception without text or reason"), ("b", "protected names are no list of spellings"), ("b", "view text without a transform"),
+        ("c", "transform without a place"), ("c", "transform of text that no view owns"), ("e", "style is not the role's"),
+    }
+    shown = df.select("key", casing.displayed_value(F.lit("salut"), F.col("owner"), F.col("transform"), F.lit("ro")).alias("v"))
+    assert {r.key: r.v for r in shown.collect()} == {"ok": "salut", "a": "salut", "b": None, "c": "salut", "d": "SALUT", "e": "SALUT"}
+    told = spark.createDataFrame([("x", "one", "", "button", "standalone", "title", "view"), ("x", "one", "", "tab", "standalone", "title", "view"), ("y", "old", "", "tab", "standalone", "title", "view")], "key string, source string, comment string, role string, position string, style string, owner string")
+    now = spark.createDataFrame([("x", "one", None), ("y", "new", None)], "key string, source string, comment string")
+    assert {(r.key, r.error) for r in casing.context_conflicts(told, now).collect()} == {("x", "contexts of one key differ"), ("y", "source or comment changed")}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["general", "hero", "paywall"]), st.integers(1, 70)), max_size=12))
+def test_packing_keeps_its_bounds(sizes):
+    groups = [(f"f.g{i}", cls, [f"f.g{i}.x{k // 9}.{k}" for k in range(n)]) for i, (cls, n) in enumerate(sizes)]
+    batches = worklist.pack(groups)
+    assert [k for *_, ks in batches for k in ks] == [k for *_, ks in groups for k in ks]
+    kind = {k: cls for _, cls, ks in groups for k in ks}
+    for cls, _, ks in batches:
+        assert len(ks) <= worklist.CLASS_BOUND.get(cls, worklist.BOUND) and {kind[k] for k in ks} == {cls}
+
+
 def test_no_unbounded_tables_are_broken(spark):
     empty = spark.createDataFrame([], PAIR)
     assert checks.placeholder_findings(empty).count() == 0 and checks.markup_findings(empty).count() == 0 and checks.divergent_groups(empty).count() == 0
