@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -18,8 +19,20 @@ from pyspark.sql import functions as F
 
 from lexmill.session import durable
 
-#: Objects of open items whose own fields are followed, under this name and every one it is renamed to.
-NESTED = "open.role_forms"
+class Shape(NamedTuple):
+    """Where the records of a file are: heads whose values are maps of records, heads that are lists of records (with the field that names one), and objects of list records whose own fields are followed, under this name and every one it is renamed to."""
+
+    maps: tuple[str, ...] = ("terms",)
+    lists: tuple[tuple[str, str], ...] = (("open", "id"),)
+    nested: str = "open.role_forms"
+
+    @property
+    def levels(self) -> tuple[str, ...]:
+        return (*self.maps, *(k for k, _ in self.lists))
+
+
+#: The shape of glossary files; other files take another one.
+GLOSSARY = Shape()
 
 #: Per path: its type, its nulls, and the terms or items that have it with the hashes of their values, eight bytes each.
 PROFILE = "array<struct<path:string,type:string,nulls:int,items:binary,hashes:binary>>"
@@ -58,25 +71,25 @@ def _canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, ensure_ascii=True)
 
 
-def paths(body: object, nested: frozenset[str] | None = None) -> Iterator[tuple[str, str, object]]:
-    """(path, term or item, value) of every field of one parsed file; below objects of open items only those ``nested``, or all."""
+def paths(body: object, nested: frozenset[str] | None = None, shape: Shape = GLOSSARY) -> Iterator[tuple[str, str, object]]:
+    """(path, record, value) of every field of one parsed file; below objects of list records only those ``nested``, or all."""
     if not isinstance(body, dict):
         return
     for field, value in body.items():
         yield field, "", value
-    terms, items = body.get("terms"), body.get("open")
-    named = [("terms", k, x) for k, x in terms.items()] if isinstance(terms, dict) else []
-    named += [("open", str(x.get("id")), x) for x in items if isinstance(x, dict)] if isinstance(items, list) else []
+    named = [(head, k, x) for head in shape.maps if isinstance(body.get(head), dict) for k, x in body[head].items()]
+    named += [(head, str(x.get(key)), x) for head, key in shape.lists if isinstance(body.get(head), list) for x in body[head] if isinstance(x, dict)]
+    lists = {head for head, _ in shape.lists}
     for level, name, x in named:
         if isinstance(x, dict):
             for field, value in x.items():
                 yield f"{level}.{field}", name, value
-                if level == "open" and isinstance(value, dict) and (nested is None or f"open.{field}" in nested):
+                if level in lists and isinstance(value, dict) and (nested is None or f"{level}.{field}" in nested):
                     for inner, v in value.items():
                         yield f"{level}.{field}.{inner}", name, v
 
 
-def profile(body: str | None) -> list[dict] | None:
+def profile(body: str | None, shape: Shape = GLOSSARY) -> list[dict] | None:
     """Path-type statistics of one file, None for a body that is no JSON object."""
     try:
         parsed = json.loads(body) if body else None
@@ -85,7 +98,7 @@ def profile(body: str | None) -> list[dict] | None:
     if not isinstance(parsed, dict):
         return None
     found: dict[str, dict[str, object]] = {}
-    for path, item, value in paths(parsed):
+    for path, item, value in paths(parsed, shape=shape):
         found.setdefault(path, {})[item] = value
     out = []
     names = {k: _hash(k) for values in found.values() for k in values}
@@ -152,7 +165,7 @@ def compare(old: list[dict], new: list[dict]) -> list[tuple[str, str, str | None
     return changes
 
 
-def file_profiles(files: DataFrame) -> DataFrame:
+def file_profiles(files: DataFrame, shape: Shape = GLOSSARY) -> DataFrame:
     """One row per distinct file: ``file_no app_no locale rev received_at profile`` (null profile: no JSON object)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +173,7 @@ def file_profiles(files: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                made = [profile(x) for x in part.column(5).to_pylist()]
+                made = [profile(x, shape) for x in part.column(5).to_pylist()]
                 kind = kind or pa.list_(pa.struct([("path", pa.string()), ("type", pa.string()), ("nulls", pa.int32()), ("items", pa.binary()), ("hashes", pa.binary())]))
                 yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(made, kind)], [*SLIM, "profile"])
 
@@ -186,7 +199,7 @@ def predecessors(files: DataFrame) -> DataFrame:
     return slim.join(last, same).select("file_no", "before").where("before is not null")
 
 
-def field_changes(files: DataFrame) -> DataFrame:
+def field_changes(files: DataFrame, shape: Shape = GLOSSARY) -> DataFrame:
     """``file_no field_path change former_path``: each change of a file against the one before it.
 
     ``files`` has ``file_no app_no locale rev received_at body``. Files sent
@@ -194,26 +207,27 @@ def field_changes(files: DataFrame) -> DataFrame:
     no part as a predecessor either way (it yields no rows); an empty table
     gives an empty result; other columns are ignored.
     """
-    every = durable(all_changes(files), "changes")
+    every = durable(all_changes(files, shape), "changes")
     parent = F.substring_index("field_path", ".", 2)
     below = F.size(F.split("field_path", r"\.")) > 2
-    return every.where(~below | parent.isin(sorted(nested_names(every))))
+    return every.where(~below | parent.isin(sorted(nested_names(every, shape))))
 
 
-def nested_names(changes: DataFrame) -> frozenset[str]:
-    """The names of the followed object: NESTED and what renames link it with, directly or through others; field names bound their number."""
-    renames = changes.where("change = 'renamed' and field_path like 'open.%'").where(F.size(F.split("field_path", r"\.")) == 2)
+def nested_names(changes: DataFrame, shape: Shape = GLOSSARY) -> frozenset[str]:
+    """The names of the followed object: its own and what renames link it with, directly or through others; field names bound their number."""
+    level = shape.nested.partition(".")[0]
+    renames = changes.where((F.col("change") == "renamed") & F.col("field_path").startswith(level + ".")).where(F.size(F.split("field_path", r"\.")) == 2)
     pairs = [(r.former_path, r.field_path) for r in renames.select("former_path", "field_path").distinct().collect()]
-    names = {NESTED}
+    names = {shape.nested}
     while more := {x for p in pairs if names & set(p) for x in p} - names:
         names |= more
     return frozenset(names)
 
 
-def all_changes(files: DataFrame) -> DataFrame:
+def all_changes(files: DataFrame, shape: Shape = GLOSSARY) -> DataFrame:
     """:func:`field_changes` with the fields below every object of open items."""
     # a file sent again is parsed again, but only its profile is shuffled
-    profiles = durable(file_profiles(files).dropDuplicates(["file_no"]), "profiles")
+    profiles = durable(file_profiles(files, shape).dropDuplicates(["file_no"]), "profiles")
     good = profiles.where("profile is not null")
     pairs = predecessors(good)
     new = good.select("file_no", F.col("profile").alias("new"))
@@ -250,9 +264,11 @@ def canonical_names(changes: DataFrame) -> dict[str, str]:
     return {x: root(x) for x in parent if root(x) != x}
 
 
-def long_values(files: DataFrame, nested: frozenset[str] = frozenset({NESTED})) -> DataFrame:
+def long_values(files: DataFrame, nested: frozenset[str] | None = None, shape: Shape = GLOSSARY) -> DataFrame:
     """``file_no app_no locale rev level item path type value``: one row per file, term or item and field; values as JSON text, strings bare."""
 
+    followed = frozenset({shape.nested}) if nested is None else nested
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["file_no", "app_no", "locale", "rev", "item", "path", "type", "value"]
         for batch in batches:
@@ -262,7 +278,7 @@ def long_values(files: DataFrame, nested: frozenset[str] = frozenset({NESTED}))
                     parsed = json.loads(row.column(4)[0].as_py() or "null")
                 except ValueError:
                     parsed = None
-                cells = [(k, p, raw_type(v), v if isinstance(v, str) or v is None else _canonical(v)) for p, k, v in paths(parsed, nested) if p not in ("terms", "open")]
+                cells = [(k, p, raw_type(v), v if isinstance(v, str) or v is None else _canonical(v)) for p, k, v in paths(parsed, followed, shape) if p not in shape.levels]
                 n = len(cells)
                 columns = list(zip(*cells)) or [[], [], [], []]
                 head = [pa.concat_arrays([c] * n) if n else c.slice(0, 0) for c in row.columns[:4]]
@@ -273,8 +289,26 @@ def long_values(files: DataFrame, nested: frozenset[str] = frozenset({NESTED}))
     return files.dropDuplicates(["file_no"]).select(*SLIM[:4], F.col("body").cast("string").alias("body")).mapInArrow(run, schema)
 
 
-#: Target types of the consistent tables, by canonical path; a path that is not named stays text.
-TYPES = {"terms.forms": "array<string>", "terms.forbidden": "array<string>", "open.options": "array<string>", "open.priority": "int", "open.decision_date": "string"}
+#: Type of a column by the raw type that most of a path's values have.
+COLUMN_TYPES = {"integer": "bigint", "double": "double", "boolean": "boolean", "array": "array<string>"}
+
+
+def inferred_types(rows: DataFrame, path: str) -> dict[str, str]:
+    """Column type of each path from the raw types of its values (``path``, ``type``): that of most values, as text where none leads; field names bound the result.
+
+    Whole numbers are doubles where some values are; on equal counts text wins.
+    """
+    counts = rows.where("type is not null").groupBy(path, "type").agg(F.count(F.lit(1)).alias("n")).collect()
+    by: dict[str, dict[str, int]] = {}
+    for r in counts:
+        by.setdefault(r[0], {})[r[1]] = r[2]
+    out = {}
+    for name, kinds in by.items():
+        if "double" in kinds:
+            kinds["double"] += kinds.pop("integer", 0)
+        best = max(kinds, key=lambda k: (kinds[k], k == "string", k))
+        out[name] = COLUMN_TYPES.get(best, "string")
+    return out
 
 
 def _typed(value: Column, kind: str) -> Column:
@@ -284,9 +318,11 @@ def _typed(value: Column, kind: str) -> Column:
     return value.try_cast(kind) if kind != "string" else value
 
 
-def consistent_values(files: DataFrame, names: dict[str, str], types: dict[str, str] | None = None) -> DataFrame:
-    """:func:`long_values` under canonical names with ``as_type``, ``cast_ok``: the typed projection in long form, from which tables are pivoted."""
-    types = TYPES | (types or {})
+def consistent_values(files: DataFrame, names: dict[str, str], types: dict[str, str] | None = None, shape: Shape = GLOSSARY) -> DataFrame:
+    """:func:`long_values` under canonical names with ``as_type``, ``cast_ok``: the typed projection in long form, from which tables are pivoted.
+
+    Types that are not given are inferred from the path-type statistics of all files.
+    """
     mapping = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair]) if names else None
     path = F.col("path")
     if mapping is not None:
@@ -294,19 +330,25 @@ def consistent_values(files: DataFrame, names: dict[str, str], types: dict[str,
         parent = F.substring_index("path", ".", 2)
         path = F.when(F.size(F.split("path", r"\.")) > 2, F.concat(F.coalesce(mapping[parent], parent), F.lit("."), F.substring_index("path", ".", -1))).otherwise(path)
         path = F.coalesce(mapping[path], path)
-    kinds = F.create_map(*[F.lit(x) for pair in sorted(types.items()) for x in pair])
-    nested = frozenset({NESTED, *(x for x, y in names.items() if y == names.get(NESTED, NESTED))})
-    rows = long_values(files, nested).withColumn("field_path", path).drop("path").withColumn("as_type", F.coalesce(kinds[F.col("field_path")], F.lit("string")))
+    nested = frozenset({shape.nested, *(x for x, y in names.items() if y == names.get(shape.nested, shape.nested))})
+    rows = long_values(files, nested, shape).withColumn("field_path", path).drop("path")
+    if types is None:
+        rows = durable(rows, "values")
+        types = inferred_types(rows, "field_path")
+    kinds = F.create_map(*[F.lit(x) for pair in sorted(types.items()) for x in pair]) if types else None
+    rows = rows.withColumn("as_type", F.coalesce(kinds[F.col("field_path")], F.lit("string")) if kinds is not None else F.lit("string"))
     ok = F.when(F.col("value").isNull(), True)
     for kind in sorted(set(types.values()) - {"string"}):
         ok = ok.when(F.col("as_type") == kind, _typed(F.col("value"), kind).isNotNull())
     return rows.withColumn("cast_ok", ok.otherwise(True))
 
 
-def consistent_table(files: DataFrame, level: str, names: dict[str, str], columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
+def consistent_table(files: DataFrame, level: str, names: dict[str, str], columns: list[str], types: dict[str, str] | None = None, shape: Shape = GLOSSARY) -> DataFrame:
     """One row per file and term or item of ``level``, with typed ``columns``, ``other`` (fields without a column) and ``failed`` (fields whose cast failed)."""
-    types = TYPES | (types or {})
-    rows = consistent_values(files, names, types).where(F.col("field_path").startswith(level + "."))
+    every = consistent_values(files, names, types, shape)
+    if types is None:
+        types = {r.field_path: r.as_type for r in every.select("field_path", "as_type").distinct().collect()}  # field names bound it
+    rows = every.where(F.col("field_path").startswith(level + "."))
     field = F.substring_index("field_path", ".", -1) if level.count(".") else F.regexp_replace("field_path", f"^{level}\\.", "")
     rows = rows.withColumn("field", field)
     one = lambda c: F.max(F.when(F.col("field") == c, F.col("value")))
