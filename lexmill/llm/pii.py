@@ -174,7 +174,9 @@ def email_spans(text: str) -> Iterator[tuple[int, int]]:
     """Addresses around each sign for at, of any length: the local part is walked back to its start."""
     last = 0
     # the written-out forms are rare, and a single sign is found much faster
-    for m in (_AT_SIGN if _WRITTEN.search(text) else _AT_ONLY).finditer(text):
+    low = text.lower()
+    written = any(x in low for x in _WRITTEN)
+    for m in (_AT_SIGN if written else _AT_ONLY).finditer(text):
         at = m.start()
         if at < last:
             continue
@@ -190,7 +192,7 @@ def email_spans(text: str) -> Iterator[tuple[int, int]]:
 
 
 _AT_ONLY = re.compile(r"@")
-_WRITTEN = re.compile(r"(?i)at ?[\])]| dot |[\[(] ?dot")
+_WRITTEN = ("at]", "at)", "at ]", "at )", " dot ", "[dot", "(dot", "[ dot", "( dot")
 _AT_SIGN = re.compile(r"(?i)@|[\[(] ?at ?[\])]| at (?=[\w-]+(?: dot | ?[\[(] ?dot))", re.ASCII)
 
 
